@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from haulmetry.functions.clock import calendar_labels
 from haulmetry.operators import app_versions as versions
 from haulmetry.operators import cancellations, damage, event_issues, event_quality, exclusions, gps, growth
 from haulmetry.operators import kpi, milestones, payments, requests, tickets, trips
+from haulmetry.plans import event_audit
 from haulmetry.session import tune
 from haulmetry.sources.sinks import stamped
 
@@ -59,11 +61,17 @@ class Queries:
 
     def release_date_first_seen(self) -> DataFrame:
         history, current = self.t.many("release_events_history", "release_events_current")
-        return versions.release_date_first_seen(history, current, self.app_version_rank())
+        return versions.release_date_first_seen(history, current, self._ranked())
+
+    @cached_property
+    def _counts(self) -> DataFrame:
+        return event_audit.audit_counts(self.t["app_events"], [APP_ID], FIRST_DAY, LAST_DAY)
+
+    def _ranked(self) -> DataFrame:
+        return versions.app_version_rank(self._counts)
 
     def version_tagging(self) -> DataFrame:
-        counts = self.event_quality_counts()
-        return versions.version_tagging(counts, versions.app_version_rank(counts))
+        return versions.version_tagging(self._counts, self._ranked())
 
     def event_signature(self) -> DataFrame:
         return event_quality.event_signature(self.version_tagging())
@@ -81,13 +89,13 @@ class Queries:
         return event_quality.compliance_rates(self.compliance_funnel())
 
     def _labels(self) -> DataFrame:
-        return self.app_version_rank().join(self.release_date_first_seen(), "app_version", "left")
+        return self._ranked().join(self.release_date_first_seen(), "app_version", "left")
 
     def summary_long(self) -> DataFrame:
         return event_issues.summary_long(self.compliance_rates(), self._labels())
 
     def summary_by_version(self) -> DataFrame:
-        plain = self.app_version_rank().select("row_number", F.col("row_number").alias("app_version_1"))
+        plain = self._ranked().select("row_number", F.col("row_number").alias("app_version_1"))
         return event_issues.summary_by_version(event_issues.summary_long(self.compliance_rates(), plain), FLAGS)
 
     def breach_flag(self) -> DataFrame:
@@ -100,7 +108,7 @@ class Queries:
         return event_issues.issue_classifier(self.event_signature(), drop_null_keys=False)
 
     def issue_latest_version(self) -> DataFrame:
-        return event_issues.issue_latest_version(self.issue_classifier(), self.app_version_rank())
+        return event_issues.issue_latest_version(self.issue_classifier(), self._ranked())
 
     def issue_export(self) -> DataFrame:
         return event_issues.issue_export(self.issue_latest_version())

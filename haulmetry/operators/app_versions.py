@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulmetry.functions.text import version_key
@@ -22,7 +22,7 @@ def platform_rows(
     return counts.where(~F.col("app_version").isin(*debug_versions) & (F.col("event_platform") == platform))
 
 
-def _order(numeric: bool):
+def _order(numeric: bool) -> tuple[Column, ...]:
     version = F.col("app_version")
     return (version_key(version), version) if numeric else (version,)
 
@@ -39,26 +39,47 @@ def app_version_rank(
     ``latest_version`` defaults to the highest version. The lowest version is left out first
     when ``drop_lowest`` is set. At most ``others + 1`` rows come back.
     """
+    version = F.col("app_version")
     sizes = (
         platform_rows(counts)
-        .where(F.col("app_version").isNotNull())
+        .where(version.isNotNull())
         .groupBy("app_version")
         .agg(F.sum("total_rows").cast("bigint").alias("total_rows"))
     )
-    if drop_lowest:
-        lowest = sizes.orderBy(*[c.asc() for c in _order(numeric_order)]).limit(1)
-        sizes = sizes.join(lowest.select("app_version"), "app_version", "left_anti")
-    if latest_version is None:
-        latest = sizes.orderBy(*[c.desc() for c in _order(numeric_order)]).limit(1)
-    else:
-        latest = sizes.where(F.col("app_version") == latest_version)
-    rest = sizes.join(latest.select("app_version"), "app_version", "left_anti")
-    largest = rest.orderBy(F.col("total_rows").desc(), F.col("app_version").desc()).limit(others)
-    chosen = latest.unionByName(largest)
-    # At most others + 1 rows reach this window.
-    newest_first = Window.orderBy(*[c.desc() for c in _order(numeric_order)])
-    position = F.row_number().over(newest_first) - F.lit(1)
-    return chosen.withColumn("row_number", F.concat(F.lit("app_latest_"), position.cast("string")))
+    # Both readings of the sizes below share one exchange, so the counters are read once.
+    row = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(_order(numeric_order))], version, "total_rows")
+    wanted = F.max(row) if latest_version is None else F.max(F.when(version == latest_version, row))
+    ends = sizes.agg(F.min(row).alias("lowest"), wanted.alias("latest"))
+    # The lowest and the latest may be among the largest, so two more are taken.
+    largest = sizes.orderBy(F.col("total_rows").desc(), version.desc()).limit(others + 2)
+    named = {
+        "lowest": ends.select(F.lit("lowest").alias("kind"), "lowest.app_version", "lowest.total_rows"),
+        "latest": ends.select(F.lit("latest").alias("kind"), "latest.app_version", "latest.total_rows"),
+        "large": largest.select(F.lit("large").alias("kind"), "app_version", "total_rows"),
+    }
+    candidates = named["large"].unionByName(named["lowest"]).unionByName(named["latest"])
+
+    # The windows from here on see others + 4 rows at most.
+    def of_kind(kind: str) -> Column:
+        return F.max(F.when(F.col("kind") == kind, version)).over(Window.partitionBy())
+
+    lowest = of_kind("lowest") if drop_lowest else F.lit(None).cast("string")
+    known = candidates.withColumns({"_lowest": lowest, "_latest": of_kind("latest")})
+    is_latest = F.col("kind") == "latest"
+    kept = known.where(
+        version.isNotNull()
+        & (F.col("kind") != "lowest")
+        & ~version.eqNullSafe(F.col("_lowest"))
+        & (is_latest | ~version.eqNullSafe(F.col("_latest")))
+    )
+    by_size = Window.orderBy(is_latest.desc(), F.col("total_rows").desc(), version.desc())
+    chosen = kept.withColumn("_pick", F.row_number().over(by_size)).where(
+        is_latest | (F.col("_pick") <= F.when(F.col("_latest").isNull(), others).otherwise(others + 1))
+    )
+    position = F.row_number().over(Window.orderBy(*[c.desc() for c in _order(numeric_order)])) - F.lit(1)
+    return chosen.select(
+        "app_version", "total_rows", F.concat(F.lit("app_latest_"), position.cast("string")).alias("row_number")
+    )
 
 
 def release_date_first_seen(history: DataFrame, current: DataFrame, versions: DataFrame) -> DataFrame:

@@ -159,11 +159,13 @@ def issue_classifier(tagged: DataFrame, drop_null_keys: bool = True) -> DataFram
 
 def issue_latest_version(issues: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per event spelling with an issue, from the newest labelled version that shows it."""
-    found = issues.where(F.col("issue_type") != "")
     position = F.element_at(F.split("row_number", "_"), -1).cast("int")
     payload = ("row_number", "target_product", "event_platform", "issue_type")
-    newest = found.groupBy(*ISSUE_SIGNATURE).agg(pick_first(position, *payload).alias("_row"))
-    picked = newest.select(*ISSUE_SIGNATURE, *[F.col(f"_row.{name}").alias(name) for name in payload])
+    # The condition sits in the aggregate: as a filter it would be rewritten through all the
+    # share columns it depends on, which makes planning very slow.
+    found = F.col("issue_type") != ""
+    newest = issues.groupBy(*ISSUE_SIGNATURE).agg(pick_first(position, *payload, when=found).alias("_row"))
+    picked = newest.where(F.col("_row").isNotNull()).select(*ISSUE_SIGNATURE, *[F.col(f"_row.{name}").alias(name) for name in payload])
     return picked.join(labels.select("row_number", "app_version"), "row_number", "left").select(
         "target_product", "app_version", *ISSUE_SIGNATURE, "issue_type"
     )

@@ -21,14 +21,16 @@ from haulmetry.operators.event_quality import (
     event_quality_counts,
     event_signature,
 )
+from haulmetry.sources.stage import staged
 
 
 def audit_counts(events: DataFrame, app_ids: Iterable[str], start: str, end: str) -> DataFrame:
     """Quality counters of the window: the one pass over raw events that everything else reads.
 
-    A run should write this (it is small next to the events) and pass the written table on.
+    They are staged, because versions, funnel and issues all start from them and they are
+    small next to the events.
     """
-    return event_quality_counts(event_param_flatten(events, app_ids, start, end))
+    return staged(event_quality_counts(event_param_flatten(events, app_ids, start, end)))
 
 
 def audit_outputs(
