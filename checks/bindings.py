@@ -7,6 +7,7 @@ understand; a ``Dialect`` supplies the few spellings that differ.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from haulmetry.operators.cancellations import CANCEL_RULES
 from haulmetry.sources.schemas import conform
@@ -100,7 +101,7 @@ def _trip_base(key: str) -> str:
 
 def sources(d) -> dict[str, tuple[str, dict[str, str]]]:
     """Source name to (given table, column expressions)."""
-    k = d.json_int("props", "k")
+    k = "k"  # number kept in the props of an event, read once per row
     shifted = d.plus_days("o_orderdate", 9000)
     demand_json = (
         "case when o_orderkey % 29 = 0 then null when o_orderkey % 31 = 0 then '{\"ptl\": ' else '{' "
@@ -507,7 +508,10 @@ class SparkSources:
 
     def __getitem__(self, name: str) -> DataFrame:
         table, columns = self._sources[name]
-        projected = self.table(table).selectExpr(*[f"{expr} as `{col}`" for col, expr in columns.items()])
+        rows = self.table(table)
+        if table == "events":
+            rows = rows.withColumn("k", F.expr(SparkDialect.json_int("props", "k")))
+        projected = rows.selectExpr(*[f"{expr} as `{col}`" for col, expr in columns.items()])
         return conform(projected, _declared(name))
 
     def many(self, *names: str) -> list[DataFrame]:
@@ -516,7 +520,10 @@ class SparkSources:
 
 def duck_sources() -> dict[str, str]:
     """Each source as a SELECT for the comparison engine."""
-    return {
-        name: "select " + ", ".join(f"{expr} as {col}" for col, expr in columns.items()) + f" from {table}"
-        for name, (table, columns) in sources(DuckDialect).items()
-    }
+    events = f"(select *, {DuckDialect.json_int('props', 'k')} as k from events)"
+
+    def select(table: str, columns: dict[str, str]) -> str:
+        listed = ", ".join(f"{expr} as {col}" for col, expr in columns.items())
+        return f"select {listed} from {events if table == 'events' else table}"
+
+    return {name: select(table, columns) for name, (table, columns) in sources(DuckDialect).items()}
