@@ -26,6 +26,7 @@ from haulmetry.operators import kpi, milestones, payments, requests, tickets, tr
 from haulmetry.plans import event_audit
 from haulmetry.session import tune
 from haulmetry.sources.sinks import stamped
+from haulmetry.sources.stage import staged
 
 FIRST_DAY, LAST_DAY = "20240101", "20240131"
 AS_OF = dt.datetime(2024, 2, 10, 9, 30)
@@ -143,7 +144,7 @@ class Queries:
         return gps.gps_offline(*self.t.many(*names))
 
     def trip_enriched(self) -> DataFrame:
-        return trips.trip_enriched(self.trip_end_fact(), self.tickets_fact(), self.gps_offline())
+        return trips.trip_enriched(self.trip_end_fact(), staged(self.tickets_fact()), self.gps_offline())
 
     def exclude_partial_and_test(self) -> DataFrame:
         demands, consigners, comments = self.t.many("demands", "consigners", "demand_comments")

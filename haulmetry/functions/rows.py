@@ -75,17 +75,49 @@ def ordinal_within(
     return lifted.withColumn(name, (F.col("_local") + F.col("_offset")).cast("bigint")).select(*df.columns, name)
 
 
-def fanout_left_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+def fanout_left_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    identical_rows: bool = False,
+    hot_rows: int = 100_000,
+    salts: int = 32,
+) -> DataFrame:
     """Left join whose right side may repeat a key very often.
 
-    Spark can split a hot right-hand key of an inner join but not of a left outer join, so the
-    matched rows come from an inner join and the unmatched ones from an anti join on the
-    distinct right keys.
+    Spark splits a hot left-hand key of a left outer join by itself, but never a hot
+    right-hand key. So keys with more than ``hot_rows`` right rows are salted: their right
+    rows are dealt over the salts and their left rows repeated per salt. There are at most
+    ``rows / hot_rows`` such keys. ``right`` is read twice; stage it when it is costly.
+
+    Rows are dealt by their content. Set ``identical_rows`` where many rows may be equal in
+    every column; they are then folded to one row with a count before the shuffle.
     """
     on = list(on)
-    matched = left.join(right, on, "inner")
-    unmatched = left.join(right.select(*on).distinct(), on, "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+    # A NULL key never matches, so those rows need not travel.
+    sided = right.dropna(subset=on)
+    if identical_rows:
+        sided = sided.groupBy(*right.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    else:
+        sided = sided.withColumn("_copies", F.lit(1).cast("bigint"))
+    hot = sided.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    hot = hot.select(*on, F.lit(True).alias("_hot"))
+    dealt = F.pmod(F.xxhash64(*right.columns), F.lit(salts)).cast("int")
+    salted = (
+        sided.join(hot, on, "left")
+        .withColumn("_salt", F.when(F.col("_hot"), dealt).otherwise(F.lit(0)))
+        .drop("_hot")
+    )
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    repeated = left.join(hot, on, "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))
+    )
+    joined = repeated.join(salted, [*on, "_salt"], "left")
+    # A hot key has right rows, so its salts without a match are not unmatched left rows.
+    kept = joined.where(F.col("_hot").isNull() | F.col("_copies").isNotNull())
+    if identical_rows:
+        kept = kept.withColumn("_copies", F.explode(F.sequence(F.lit(1), F.coalesce("_copies", F.lit(1)))))
+    return kept.drop("_salt", "_hot", "_copies")
 
 
 def without_matches(df: DataFrame, others: DataFrame, on: Sequence[str]) -> DataFrame:

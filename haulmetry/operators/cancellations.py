@@ -17,6 +17,7 @@ from haulmetry.operators.exclusions import (
     real_consigners,
 )
 from haulmetry.operators.milestones import TRIPS_SINCE
+from haulmetry.sources.stage import staged
 
 # Cancellation codes and the party each is charged to, first match wins. A code is
 # looked for anywhere in the remark, in any case; its underscores match any one character.
@@ -171,9 +172,10 @@ def cancellations_fact(
         "demand_id", "operator_code", F.col("status").alias("token_status")
     )
     rows = placements.join(kept, "demand_id", "inner")
-    rows = fanout_left_join(rows, cancels, ["code"])
-    rows = fanout_left_join(rows, live_tokens, ["demand_id", "operator_code"])
-    rows = rows.withColumn("cancelled_in", boundary_diff("minute", F.col("placement_time"), F.col("cancel_time")))
+    rows = fanout_left_join(rows, cancels, ["code"], identical_rows=True)
+    rows = fanout_left_join(rows, live_tokens, ["demand_id", "operator_code"], identical_rows=True)
+    # Numbering reads its input twice, so the joined rows are written once.
+    rows = staged(rows).withColumn("cancelled_in", boundary_diff("minute", F.col("placement_time"), F.col("cancel_time")))
     numbered = ordinal_within(
         rows,
         ["demand_id", "consignment_state"],

@@ -61,8 +61,11 @@ def trip_end_fact(
 
 
 def trip_enriched(trips: DataFrame, tickets: DataFrame, gps: DataFrame) -> DataFrame:
-    """Trips with calendar labels, one row per ticket of the demand, and offline hours."""
+    """Trips with calendar labels, one row per ticket of the demand, and offline hours.
+
+    ``tickets`` is read twice: pass it staged.
+    """
     raised = tickets.select("demand_id", "ticket_code", "ticket_feedback", "opened_from", "tat_resolve_cat")
     offline = gps.select("code", "trip_journey", "total_offline_time", "sim_network", "transit_journey")
     labelled = calendar_labels(trips, "unloading_done_time", with_date=True)
-    return fanout_left_join(fanout_left_join(labelled, raised, ["demand_id"]), offline, ["code"])
+    return fanout_left_join(labelled, raised, ["demand_id"]).join(offline, "code", "left")

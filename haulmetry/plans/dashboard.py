@@ -27,6 +27,7 @@ from haulmetry.operators.payments import (
 from haulmetry.operators.tickets import APP_SOURCES, tickets_fact, tickets_per_trip, trip_ticket_ratio_daily
 from haulmetry.operators.trips import trip_end_fact, trip_enriched
 from haulmetry.sources.sinks import publish
+from haulmetry.sources.stage import staged
 
 
 @dataclass(frozen=True)
@@ -47,7 +48,7 @@ class DashboardSettings:
 
 
 def dashboard_outputs(t: Mapping[str, DataFrame], s: DashboardSettings) -> dict[str, DataFrame]:
-    """All outputs by name; nothing runs until they are written."""
+    """All outputs by name. Tables that feed several outputs are staged while the plans are built."""
     tickets = tickets_fact(
         t["tickets"],
         t["ticket_field_values"],
@@ -62,6 +63,7 @@ def dashboard_outputs(t: Mapping[str, DataFrame], s: DashboardSettings) -> dict[
         s.ticket_sources,
         s.excluded_customers,
     )
+    tickets = staged(tickets)
     trips = trip_end_fact(
         t["consignments"],
         t["demands"],
@@ -101,23 +103,27 @@ def dashboard_outputs(t: Mapping[str, DataFrame], s: DashboardSettings) -> dict[
         t["ticket_activity"],
         s.trip_ticket_source,
     )
-    acquired = acquisition_base(
-        t["subscriptions"],
-        t["quotations"],
-        t["consignments"],
-        t["operator_profiles"],
-        t["rate_inputs"],
-        s.as_of.date(),
+    acquired = staged(
+        acquisition_base(
+            t["subscriptions"],
+            t["quotations"],
+            t["consignments"],
+            t["operator_profiles"],
+            t["rate_inputs"],
+            s.as_of.date(),
+        )
     )
-    reported = reported_trips(
-        t["consignments"],
-        t["trip_reports"],
-        t["demands"],
-        t["consigners"],
-        t["demand_comments"],
-        s.partial_patterns,
+    reported = staged(
+        reported_trips(
+            t["consignments"],
+            t["trip_reports"],
+            t["demands"],
+            t["consigners"],
+            t["demand_comments"],
+            s.partial_patterns,
+        )
     )
-    balance = trip_balance(t["trip_reports"], t["expenses"], t["bank_payments"])
+    balance = staged(trip_balance(t["trip_reports"], t["expenses"], t["bank_payments"]))
     return {
         "dmg_raw": damage_daily(t["consignments"], t["demands"], t["consignment_states"], damage),
         "tickets": tickets,

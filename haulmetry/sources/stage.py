@@ -3,31 +3,34 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpoint_folder(spark: SparkSession) -> str | None:
+def staging_folder(spark: SparkSession) -> str | None:
     """Shared folder for intermediate tables.
 
     A cluster names it in ``spark.checkpoint.dir``. Only a single-machine session without one
-    gets a temporary folder.
+    gets a temporary folder, set for the rest of the session.
     """
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return context.getCheckpointDir()
-    folder = context.getConf().get("spark.checkpoint.dir") or None
-    if folder is None and context.master.startswith("local"):
+    folder = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
+    if not folder and spark.sparkContext.master.startswith("local"):
         folder = tempfile.mkdtemp(prefix="haulmetry-")
-    if folder:
-        context.setCheckpointDir(folder)
-    return folder
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder or None
 
 
 def staged(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and go on from the written rows.
+    """Write ``df`` once to the shared folder and go on from the written table.
 
-    Without a shared folder the plan is returned as it is: results stay the same, the work is
-    repeated per reader.
+    A written table survives lost executors and keeps column pruning and size statistics for
+    its readers. Without a shared folder the plan is returned as it is: results stay the same,
+    the work is repeated per reader.
     """
-    return df.checkpoint() if checkpoint_folder(df.sparkSession) else df
+    folder = staging_folder(df.sparkSession)
+    if not folder:
+        return df
+    path = f"{folder.rstrip('/')}/haulmetry-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -101,11 +101,15 @@ def test_rating_of_null_is_good(spark):
     assert [r.c for r in row.collect()] == ["GOOD", "BAD", "MODERATE", "GOOD"]
 
 
-def test_fanout_join_equals_left_join(spark):
-    left = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "d")], "k int, l string")
-    right = spark.createDataFrame([(2, n) for n in range(50)] + [(None, 7), (3, 8)], "k int, r int")
+@pytest.mark.parametrize("hot_rows", [5, 100_000])
+@pytest.mark.parametrize("identical_rows", [False, True])
+def test_fanout_join_equals_left_join(spark, hot_rows, identical_rows):
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "d"), (4, "e")], "k int, l string")
+    many = [(2, n % 9) for n in range(60)] + [(None, 7)] * 8 + [(3, 8)] * 8 + [(4, 1), (4, 1), (4, None)]
+    right = spark.createDataFrame(many, "k int, r int")
+    got = fanout_left_join(left, right, ["k"], identical_rows, hot_rows, salts=4).select("k", "l", "r")
     plain = left.join(right, "k", "left").select("k", "l", "r")
-    assert Counter(fanout_left_join(left, right, ["k"]).select("k", "l", "r").collect()) == Counter(plain.collect())
+    assert Counter(got.collect()) == Counter(plain.collect())
 
 
 def test_ordinals_of_a_hot_key(spark):
