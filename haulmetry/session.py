@@ -14,6 +14,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # The JVM never compiles methods over 8,000 bytes. Stages with dozens of counters or rules
+    # exceed that when fused; run unfused they are generated in small pieces and go faster.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
 }
 
