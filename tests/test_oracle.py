@@ -4,8 +4,10 @@ import pytest
 from conftest import DATA
 
 import __spark_entry__ as entry
+import checks.oracle
+import checks.queries
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = checks.queries.queries(), checks.oracle.oracle_sql()
 
 
 def _rows(table):
@@ -17,6 +19,7 @@ def _rows(table):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
