@@ -140,6 +140,18 @@ def shingle_hashes(words: np.ndarray, size: int = SHINGLE_SIZE) -> np.ndarray:
         return mix(total)
 
 
+def shingle_batch(word_lists: list[list[str]], hashes: WordHashes, size: int = SHINGLE_SIZE) -> list[np.ndarray]:
+    """``shingle_hashes`` of several texts, with one pass over all their words."""
+    counts = np.array([len(w) for w in word_lists], dtype=np.int64)
+    ends = np.cumsum(counts)
+    every = hashes.of([w for words in word_lists for w in words])
+    whole = shingle_hashes(every, size) if len(every) >= size else every
+    return [
+        whole[end - n : end - size + 1] if n >= size else shingle_hashes(every[end - n : end], size)
+        for n, end in zip(counts.tolist(), ends.tolist(), strict=True)
+    ]
+
+
 # Files
 
 

@@ -20,8 +20,8 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MAX_EPOCHS = 2
 SEED = "mix-1"
-#: Hexadecimal digits of a document's place that make its bucket: 65,536 buckets for a source.
-BUCKET_DIGITS = 4
+#: Hexadecimal digits of a document's place that a level looks at, and levels: 16,777,216 buckets for a source.
+DIGITS, LEVELS = 2, 3
 
 
 def word_count(text: str = "text") -> Column:
@@ -64,33 +64,38 @@ def targets(
 def cuts(places: DataFrame, goals: DataFrame) -> DataFrame:
     """Per source its target, its whole passes and the last place that the partial pass takes.
 
-    Buckets are summed first, so a source of any size is ordered only inside the one bucket where
-    its partial pass ends; documents of one place are taken or left together.
+    Buckets of places are summed first, then the buckets within the one where the partial pass ends,
+    and so on; so a source of any size is only ordered inside the last of them, and no window sees more
+    than 256 rows of a source before. Documents of one place are taken or left together.
     """
     goals = goals.withColumn(
         "passes", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")
     ).withColumn("missing", F.col("target") - F.col("passes") * F.col("source_size"))
-    bucket = F.substring("place", 1, BUCKET_DIGITS)
-    sums = places.groupBy("source", bucket.alias("bucket")).agg(F.sum("size").alias("size"))
     same = F.col("a.source").eqNullSafe(F.col("b.source"))
-    upto = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    ends = (
-        sums.withColumn("upto", F.sum("size").over(upto))
-        .withColumn("before", F.col("upto") - F.col("size"))
-        .alias("a")
-        .join(goals.where("missing > 0").alias("b"), same)
-        .where((F.col("before") < F.col("missing")) & (F.col("missing") <= F.col("upto")))
-        .select("a.source", "bucket", "before", "missing")
-    )
+    within = places.select("source", "place", "size").alias("a").join(
+        goals.where("missing > 0").select("source", "missing", F.lit(0).cast("bigint").alias("before")).alias("b"), same
+    ).select("a.source", "place", "size", "missing", "before")
+    for level in range(1, LEVELS + 1):
+        bucket = F.substring("place", 1, DIGITS * level)
+        upto = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+        ends = (
+            within.groupBy("source", "missing", "before", bucket.alias("bucket"))
+            .agg(F.sum("size").alias("size"))
+            .withColumn("upto", F.col("before") + F.sum("size").over(upto))
+            .withColumn("ahead", F.col("upto") - F.col("size"))
+            .where("ahead < missing and missing <= upto")
+        )
+        within = (
+            within.alias("a")
+            .join(ends.alias("b"), same & (F.substring("a.place", 1, DIGITS * level) == F.col("b.bucket")))
+            .select("a.source", "place", "a.size", "a.missing", F.col("ahead").alias("before"))
+        )
     order = Window.partitionBy("source").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     last = (
-        places.withColumn("bucket", bucket)
-        .alias("a")
-        .join(ends.alias("b"), same & (F.col("a.bucket") == F.col("b.bucket")))
-        .groupBy("a.source", "a.bucket", "before", "missing", "place")
+        within.groupBy("source", "before", "missing", "place")
         .agg(F.sum("size").alias("size"))
         .withColumn("ahead", F.col("before") + F.sum("size").over(order) - F.col("size"))
-        .groupBy("source", "bucket")
+        .groupBy("source", F.substring("place", 1, DIGITS * LEVELS).alias("bucket"))
         .agg(F.max(F.when(F.col("ahead") + F.col("size") / 2 <= F.col("missing"), F.col("place"))).alias("last"))
         .select("source", F.coalesce("last", "bucket").alias("last"))
     )

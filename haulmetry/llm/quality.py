@@ -128,11 +128,10 @@ def fences(measures: DataFrame, reach: float = REACH, min_group: int = MIN_GROUP
             found.append(F.struct((low - width).alias("low"), (high + width).alias("high")).alias(r))
         return level.select(*keys, F.struct(F.col("n"), *found).alias(name))
 
-    own, per_lang, over_all = (
-        cut(some, "own", "lang", "source"),
-        cut(some.groupBy("lang").agg(*merged), "per_lang", "lang"),
-        cut(some.agg(*merged).where("n > 0"), "over_all"),
-    )
+    own, per_lang = cut(some, "own", "lang", "source"), cut(some.groupBy("lang").agg(*merged), "per_lang", "lang")
+    whole = cut(some.agg(*merged).where("n > 0"), "whole")
+    kind = whole.schema["whole"].dataType.simpleString()
+    row = whole.select(F.to_json("whole")).first()  # one row of nine numbers
     keys = groups.select("lang", "source").alias("k")
     same = lambda c: F.col(f"k.{c}").eqNullSafe(F.col(f"o.{c}"))
     joined = (
@@ -140,13 +139,12 @@ def fences(measures: DataFrame, reach: float = REACH, min_group: int = MIN_GROUP
         .select("k.lang", "k.source", "own")
         .alias("k")
         .join(per_lang.alias("o"), same("lang"), "left")
-        .select("k.lang", "k.source", "own", "per_lang", F.lit(1).alias("one"))
-        .join(over_all.withColumn("one", F.lit(1)), "one", "left")
+        .select("k.lang", "k.source", "own", "per_lang", F.from_json(F.lit(row[0] if row else None), kind).alias("whole"))
     )
     chosen = (
         F.when(F.col("own.n") >= min_group, F.col("own"))
         .when(F.col("per_lang.n") >= min_group, F.col("per_lang"))
-        .otherwise(F.col("over_all"))
+        .otherwise(F.col("whole"))
     )
     return staged(joined.select("lang", "source", chosen.alias("fence")), "fences")
 

@@ -8,13 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from haulmetry.llm import mixing, oracle, quality
+from haulmetry.llm import decontam, minhash, mixing, oracle, quality, tokenfile
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op5_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    return tokenfile.read_tokens(tokenfile.write_tokens(_table(spark, folder, "documents")))
+
+
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mix = mixing.mixed(_table(spark, folder, "documents"))
     return mix.select(
@@ -22,6 +30,10 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, folder, "documents"))
+
+
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_report(_table(spark, folder, "documents")).withColumn("broken", F.concat_ws(",", "broken"))
 
