@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +26,28 @@ SIMILAR = 0.8
 _GOLDEN, _M1, _M2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
+# Sessions
+
+
+#: Texts are long: Arrow batches of so many rows keep a task's memory small.
+BATCH_ROWS = 500
+
+
+def ship(spark: SparkSession) -> None:
+    """Set the size of batches, and give executors this package; harmless where it is installed there."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    context = spark.sparkContext
+    if getattr(context, "has_haulmetry", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context.has_haulmetry = True
+
+
 # Staging
 
 

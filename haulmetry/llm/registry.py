@@ -8,13 +8,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from haulmetry.llm import decontam, minhash, mixing, oracle, quality, tokenfile
+from haulmetry.llm import archive, decontam, linedup, minhash, mixing, oracle, quality, secrets, tokenfile, toxicity
+
+from haulmetry.llm.common import ship
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return linedup.line_dedup(_table(spark, folder, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
@@ -30,10 +41,18 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.secrets(_table(spark, folder, "documents"))
+
+
 def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return archive.read_warc(archive.convert(archive.write_arc(_table(spark, folder, "pages"))))
+
+
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_report(_table(spark, folder, "documents")).withColumn("broken", F.concat_ws(",", "broken"))
 
