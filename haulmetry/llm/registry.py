@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from haulmetry.llm import archive, decontam, linedup, minhash, mixing, oracle, quality, secrets, tokenfile, toxicity
+from haulmetry.llm import archive, decontam, linedup, maxent, minhash, mixing, oracle, quality, secrets, tokenfile, toxicity
 
 from haulmetry.llm.common import ship
 
@@ -22,6 +22,10 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op2_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return maxent.scores(_table(spark, folder, "documents"))
+
+
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return linedup.line_dedup(_table(spark, folder, "documents"))
 
