@@ -71,16 +71,21 @@ class Items:
             prints.append(simhash(shingles))
         self.prints = np.array(prints, np.uint8).reshape(-1, BITS // 8)
         self.size_of = np.array(self.sizes, np.int64)
-        self.words, self.marks = {}, {}
+        self.words, self.marks, self.known = {}, {}, {}
         for n in sorted(set(self.sizes)):
             mine = np.flatnonzero(self.size_of == n)
             self.words[n] = (mine, np.unique(np.concatenate([self.sets[i] for i in mine])), self._tables(mine))
             # Shingles are of five words, but for items of fewer; texts are cut for each such size as well.
             self.marks.setdefault(min(SHINGLE_SIZE, n), np.zeros(1 << 20, bool))[self.words[n][1] & _LOW] = True
+            old = self.known.get(min(SHINGLE_SIZE, n), np.zeros(0, np.uint64))
+            self.known[min(SHINGLE_SIZE, n)] = np.union1d(old, self.words[n][1])
 
     def seen(self, shingles: np.ndarray, size: int) -> np.ndarray:
-        """Positions of shingles that may be an item's: all that are, and a few others."""
-        return np.flatnonzero(self.marks[size][shingles & _LOW])
+        """Positions of shingles that an item has: a bit table first passes over nearly all others."""
+        may = np.flatnonzero(self.marks[size][shingles & _LOW])
+        known = self.known[size]
+        at = np.minimum(np.searchsorted(known, shingles[may]), len(known) - 1)
+        return may[known[at] == shingles[may]]
 
     def _tables(self, mine: np.ndarray) -> np.ndarray:
         """For each block and each value of it, the items (as bits of a row) that lie near in this block."""
