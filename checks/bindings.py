@@ -16,6 +16,7 @@ APP_ID = "app.shipper"
 DAMAGE_ASSIGNEE = "damage@acme.test"
 LINK_BASE = "https://portal.acme.test/tickets?tid="
 PARTIAL_PATTERNS = ("%#acme_ptl%", "%acme ptl%")
+PAYMENT_PARTIAL_PATTERNS = ("%acme_ptl%",)
 PORTAL, TRIP_TICKETS = "PORTAL", "MATRIX"
 EXCLUDED_CUSTOMERS = ("C7", "C19", "C23")
 
@@ -198,18 +199,22 @@ def sources(d) -> dict[str, tuple[str, dict[str, str]]]:
                 ),
                 "app_info": d.struct(
                     id=f"case when {k} % 13 = 12 then 'app.other' else '{APP_ID}' end",
-                    version=f"case {k} % 20 when 19 then '1.1.0 debug' when 18 then '' "
+                    version=f"case {k} % 20 when 19 then '1.1.0 debug' when 18 then '' when 17 then null "
                     f"else '1.' || {_text(k + ' % 14')} || '.0' end",
                 ),
             },
         ),
         "release_events_history": (
             "events",
-            {"app_version": f"'1.' || {_text(k + ' % 14')} || '.0'", "event_date": "ts"},
+            # One listed version was never released.
+            {"app_version": f"'1.' || {_text(f'case {k} % 14 when 5 then 99 else {k} % 14 end')} || '.0'", "event_date": "ts"},
         ),
         "release_events_current": (
             "events",
-            {"app_version": f"'1.' || {_text('user_id % 16')} || '.0'", "event_date": d.plus_days("ts", -2)},
+            {
+                "app_version": f"'1.' || {_text('case user_id % 16 when 5 then 99 else user_id % 16 end')} || '.0'",
+                "event_date": d.plus_days("ts", -2),
+            },
         ),
         "demands": (
             "orders",
@@ -287,7 +292,7 @@ def sources(d) -> dict[str, tuple[str, dict[str, str]]]:
             {
                 "demand_id": "event_id",
                 "remarks": f"case {k} % 10 when 0 then 'note #Acme_PTL booked' when 1 then 'ACME PTL' "
-                "when 2 then 'DEMAND CANCELLED' when 3 then null else 'ok ' || event_type end",
+                "when 2 then 'DEMAND CANCELLED' when 3 then null when 4 then 'x acme_ptl y' else 'ok ' || event_type end",
                 "created": "ts",
             },
         ),

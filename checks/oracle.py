@@ -2,8 +2,9 @@
 
 Each query is a named common table expression over the source projections of
 ``checks.bindings``; a query's text is its own expression preceded by those it reads. The
-expressions state the meaning directly (windows, plain joins) and share no code with the
-operators.
+expressions state the meaning directly (windows, plain joins). They share the operators' fixed
+values (rule lists, measures, excluded names), but no logic: a wrong fixed value shows in the survey,
+not here.
 """
 
 from __future__ import annotations
@@ -159,7 +160,7 @@ def _event_audit() -> dict[str, str]:
             select {keys}, count(*) as total_rows,
               {", ".join(f"count(*) filter (where {checks[c]}) as {c}" for c in (*COUNTERS, "op_id_fill"))}
             from event_param_flatten group by all""",
-        "platform_counts": "select * from event_quality_counts where app_version <> '1.1.0 debug' "
+        "platform_counts": "select * from event_quality_counts where app_version is distinct from '1.1.0 debug' "
         "and event_platform = 'android'",
         "version_sizes": f"""
             select app_version, cast(sum(total_rows) as bigint) as total_rows,
@@ -195,7 +196,7 @@ def _event_audit() -> dict[str, str]:
         "compliance_rates": f"select *, {', '.join(rates)} from compliance_funnel",
         "summary_rows": " union all ".join(melted),
         "summary_long": """
-            select case s.flag when 'overall' then 'overall' else d.app_version_1 end as app_version,
+            select case s.flag when 'overall' then 'overall' else coalesce(d.app_version_1, r.app_version) end as app_version,
               s.measure, s.key_name, s.metrics, s.value
             from summary_rows s left join app_version_rank r on r.row_number = s.flag
             left join release_date_first_seen d on d.app_version = r.app_version""",
@@ -214,6 +215,8 @@ def _event_audit() -> dict[str, str]:
         "issue_export": """
             select distinct app_version, event_name, event_action, event_category, screen_name, target_product,
               issue_type from issue_latest_version""",
+        "issue_export_csv": "select * from issue_export",
+        "event_log_window": "select * from event_param_flatten",
     }
 
 
@@ -627,7 +630,7 @@ def _payments() -> dict[str, str]:
             where r.unloading_done_time >= timestamp '2023-07-01' and c.deleted = 'false' and c.state = 'TRIP_END'
               and n.name not ilike '%testing%' and {_full_load("d.metadata")}
               and r.demand_id not in (select demand_id from demand_comments where remarks = 'DEMAND CANCELLED')
-              and r.demand_id not in (select demand_id from partial_demands)""",
+              and r.demand_id not in (select demand_id from demand_comments where remarks ilike '%acme_ptl%')""",
         "advance_rows": f"""
             select distinct *, {dispose("time_diff is null")} from (
               select t.code, t.demand_id, t.unloading_done_time, {_shift("a.created")} as raise_time,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -15,6 +16,7 @@ from checks.bindings import (
     EXCLUDED_CUSTOMERS,
     LINK_BASE,
     PARTIAL_PATTERNS,
+    PAYMENT_PARTIAL_PATTERNS,
     PORTAL,
     TRIP_TICKETS,
     SparkSources,
@@ -25,8 +27,9 @@ from haulmetry.operators import cancellations, damage, event_issues, event_quali
 from haulmetry.operators import kpi, milestones, payments, requests, tickets, trips
 from haulmetry.plans import event_audit
 from haulmetry.session import tune
-from haulmetry.sources.sinks import stamped
-from haulmetry.sources.stage import staged
+from haulmetry.sources.readers import read_app_events
+from haulmetry.sources.sinks import export_csv, publish
+from haulmetry.sources.stage import Stage
 
 FIRST_DAY, LAST_DAY = "20240101", "20240131"
 AS_OF = dt.datetime(2024, 2, 10, 9, 30)
@@ -43,11 +46,18 @@ TEXT_RULES = (
 )
 
 
+def working_folder(spark: SparkSession) -> str:
+    """The session's shared folder; a session without one, on one machine, gets a folder of the checks."""
+    return spark.conf.get("spark.checkpoint.dir", "") or f"/tmp/haulmetry-checks/{spark.sparkContext.applicationId}"
+
+
 class Queries:
     """One method per registered query."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.t = SparkSources(tune(spark), folder)
+        self._spark, self._folder = spark, working_folder(spark)
+        self._stage = Stage(spark, self._folder)
 
     # Event audit
 
@@ -66,7 +76,14 @@ class Queries:
 
     @cached_property
     def _counts(self) -> DataFrame:
-        return event_audit.audit_counts(self.t["app_events"], [APP_ID], FIRST_DAY, LAST_DAY)
+        return event_audit.audit_counts(self.t["app_events"], [APP_ID], FIRST_DAY, LAST_DAY, self._stage)
+
+    def event_log_window(self) -> DataFrame:
+        """The same window from a log that is partitioned by day."""
+        path = f"{self._folder}/log-{uuid.uuid4().hex}"
+        self.t["app_events"].write.partitionBy("event_date").parquet(path)
+        events = read_app_events(self._spark, path, FIRST_DAY, LAST_DAY)
+        return event_quality.event_param_flatten(events, [APP_ID], FIRST_DAY, LAST_DAY)
 
     def _ranked(self) -> DataFrame:
         return versions.app_version_rank(self._counts)
@@ -96,7 +113,7 @@ class Queries:
         return event_issues.summary_long(self.compliance_rates(), self._labels())
 
     def summary_by_version(self) -> DataFrame:
-        plain = self._ranked().select("row_number", F.col("row_number").alias("app_version_1"))
+        plain = self._ranked().select("app_version", "row_number", F.col("row_number").alias("app_version_1"))
         return event_issues.summary_by_version(event_issues.summary_long(self.compliance_rates(), plain), FLAGS)
 
     def breach_flag(self) -> DataFrame:
@@ -114,6 +131,12 @@ class Queries:
     def issue_export(self) -> DataFrame:
         return event_issues.issue_export(self.issue_latest_version())
 
+    def issue_export_csv(self) -> DataFrame:
+        """The issue list written as CSV and read back."""
+        path = f"{self._folder}/issues-{uuid.uuid4().hex}"
+        export_csv(self.issue_export(), path)
+        return self._spark.read.option("header", True).csv(path)
+
     # Trips
 
     def special_request_flag(self) -> DataFrame:
@@ -144,7 +167,7 @@ class Queries:
         return gps.gps_offline(*self.t.many(*names))
 
     def trip_enriched(self) -> DataFrame:
-        return trips.trip_enriched(self.trip_end_fact(), staged(self.tickets_fact()), self.gps_offline())
+        return trips.trip_enriched(self.trip_end_fact(), self._stage.keep(self.tickets_fact()), self.gps_offline())
 
     def exclude_partial_and_test(self) -> DataFrame:
         demands, consigners, comments = self.t.many("demands", "consigners", "demand_comments")
@@ -208,7 +231,7 @@ class Queries:
 
     def cancellations_fact(self) -> DataFrame:
         names = ("consignments", "consignment_states", "demands", "consigners", "vehicle_types", "demand_tokens")
-        return cancellations.cancellations_fact(*self.t.many(*names))
+        return cancellations.cancellations_fact(self._stage.keep(cancellations.cancellation_rows(*self.t.many(*names))))
 
     def cancellation_report(self) -> DataFrame:
         return cancellations.cancellation_report(self.cancellations_fact())
@@ -248,7 +271,7 @@ class Queries:
 
     def _reported(self) -> DataFrame:
         names = ("consignments", "trip_reports", "demands", "consigners", "demand_comments")
-        return payments.reported_trips(*self.t.many(*names), PARTIAL_PATTERNS)
+        return payments.reported_trips(*self.t.many(*names), PAYMENT_PARTIAL_PATTERNS)
 
     def advance_latency_daily(self) -> DataFrame:
         return payments.advance_latency_daily(self._reported(), self.t["operator_transactions"], self._balance())
@@ -259,7 +282,9 @@ class Queries:
     # Outputs
 
     def publish_stamped(self) -> DataFrame:
-        return stamped(self.quotes_per_operator_daily(), AS_OF)
+        """An output written, stamped with its run time, and read back."""
+        root = f"{self._folder}/published-{uuid.uuid4().hex}"
+        return self._spark.read.parquet(publish(self.quotes_per_operator_daily(), root, "avg_quotes", AS_OF))
 
     def kpi_long(self) -> DataFrame:
         return kpi.kpi_long(

@@ -7,9 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from haulmetry.functions.clock import epoch_micros
-
-_AFTER_ALL = 2**62  # slot of rows without a time: sorts before every real slot when descending
 
 
 def pick_last(order: Column, *payload: str, when: Column | None = None) -> Column:
@@ -43,52 +40,65 @@ def earliest_per_key(df: DataFrame, keys: Sequence[str], order: str, payload: Se
     return _one_row(df, keys, pick_first(F.col(order), *payload), payload)
 
 
-def ordinal_within(
-    df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str], name: str, slot_seconds: int = 3_600
+def dealt_in_order(
+    df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str], parts: int | None = None
 ) -> DataFrame:
+    """Rows dealt over partitions by key, ``order`` descending (NULL first) and ``ties``, with their partition.
+
+    The whole sort key is dealt by ranges, so no key, time or missing time fills a partition; rows
+    equal in all of it are told apart by their place. Write the result before it is numbered: the
+    columns ``_row`` and ``_part`` must not be computed twice.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (
+        df.withColumn("_row", F.monotonically_increasing_id())
+        .repartitionByRange(parts, *keys, F.col(order).desc_nulls_first(), *[F.col(t).asc_nulls_last() for t in ties], "_row")
+        .withColumn("_part", F.spark_partition_id())
+    )
+
+
+def ordinal_within(dealt: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str], name: str) -> DataFrame:
     """Row number inside each key by ``order`` descending (NULL first), then ``ties`` ascending.
 
-    Rows are numbered inside (key, time slot) and lifted by the row count of the key's later
-    slots, so a key with many rows is spread over its slots instead of sorted in one task.
+    Takes what ``dealt_in_order`` made. Rows are numbered inside (key, partition) and lifted by the
+    key's rows in earlier partitions, of which there is one count each.
     """
-    micros = epoch_micros(F.col(order))
-    slot = (micros - F.pmod(micros, F.lit(slot_seconds * 1_000_000))) / F.lit(slot_seconds * 1_000_000)
-    rows = df.withColumn("_slot", F.coalesce(slot.cast("bigint"), F.lit(_AFTER_ALL)))
-    later = Window.partitionBy(*keys).orderBy(F.col("_slot").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        rows.groupBy(*keys, "_slot")
+        dealt.groupBy(*keys, "_part")
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select(
             *[F.col(k).alias(f"_key_{k}") for k in keys],
-            F.col("_slot").alias("_key_slot"),
-            F.coalesce(F.sum("_rows").over(later), F.lit(0)).alias("_offset"),
+            F.col("_part").alias("_key_part"),
+            F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"),
         )
     )
-    inside = Window.partitionBy(*keys, "_slot").orderBy(
-        F.col(order).desc_nulls_first(), *[F.col(t).asc_nulls_last() for t in ties]
+    inside = Window.partitionBy(*keys, "_part").orderBy(
+        F.col(order).desc_nulls_first(), *[F.col(t).asc_nulls_last() for t in ties], "_row"
     )
-    numbered = rows.withColumn("_local", F.row_number().over(inside))
-    same = F.col("_slot") == F.col("_key_slot")
+    numbered = dealt.withColumn("_local", F.row_number().over(inside))
+    same = F.col("_part") == F.col("_key_part")
     for key in keys:
         same = same & F.col(key).eqNullSafe(F.col(f"_key_{key}"))
+    shown = [c for c in dealt.columns if c not in ("_row", "_part")]
     lifted = numbered.join(offsets, same, "inner")
-    return lifted.withColumn(name, (F.col("_local") + F.col("_offset")).cast("bigint")).select(*df.columns, name)
+    return lifted.withColumn(name, (F.col("_local") + F.col("_offset")).cast("bigint")).select(*shown, name)
+
+
+#: Identical rows are unfolded in two steps, so that no array grows with their number.
+_UNFOLD = 10_000
 
 
 def fanout_left_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    identical_rows: bool = False,
-    hot_rows: int = 100_000,
-    salts: int = 32,
+    left: DataFrame, right: DataFrame, on: Sequence[str], identical_rows: bool = False, hot_rows: int = 100_000
 ) -> DataFrame:
     """Left join whose right side may repeat a key very often.
 
     Spark splits a hot left-hand key of a left outer join by itself, but never a hot
-    right-hand key. So keys with more than ``hot_rows`` right rows are salted: their right
-    rows are dealt over the salts and their left rows repeated per salt. There are at most
-    ``rows / hot_rows`` such keys. ``right`` is read twice; stage it when it is costly.
+    right-hand key. So a key with more than ``hot_rows`` right rows is salted, with one salt for
+    every ``hot_rows`` of them: its right rows are dealt over the salts and its left rows repeated
+    per salt. There are at most ``rows / hot_rows`` such keys, and as many salts in all, but for
+    one a key. ``right`` is read twice; stage it when it is costly.
 
     Rows are dealt by their content. Set ``identical_rows`` where many rows may be equal in
     every column; they are then folded to one row with a count before the shuffle.
@@ -101,23 +111,22 @@ def fanout_left_join(
     else:
         sided = sided.withColumn("_copies", F.lit(1).cast("bigint"))
     hot = sided.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-    hot = hot.select(*on, F.lit(True).alias("_hot"))
-    dealt = F.pmod(F.xxhash64(*right.columns), F.lit(salts)).cast("int")
+    hot = hot.select(*on, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts"))
+    dealt = F.pmod(F.xxhash64(*right.columns), F.col("_salts")).cast("int")
     salted = (
-        sided.join(hot, on, "left")
-        .withColumn("_salt", F.when(F.col("_hot"), dealt).otherwise(F.lit(0)))
-        .drop("_hot")
-    )
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    repeated = left.join(hot, on, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))
+        sided.join(hot, on, "left").withColumn("_salt", F.coalesce(dealt, F.lit(0))).drop("_salts")
     )
+    every = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    repeated = left.join(hot, on, "left").withColumn("_salt", F.explode(every))
     joined = repeated.join(salted, [*on, "_salt"], "left")
     # A hot key has right rows, so its salts without a match are not unmatched left rows.
-    kept = joined.where(F.col("_hot").isNull() | F.col("_copies").isNotNull())
+    kept = joined.where(F.col("_salts").isNull() | F.col("_copies").isNotNull())
     if identical_rows:
-        kept = kept.withColumn("_copies", F.explode(F.sequence(F.lit(1), F.coalesce("_copies", F.lit(1)))))
-    return kept.drop("_salt", "_hot", "_copies")
+        copies = F.coalesce("_copies", F.lit(1))
+        kept = kept.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((copies - 1) / _UNFOLD))))
+        rest = F.least(F.lit(_UNFOLD), copies - F.col("_chunk") * _UNFOLD)
+        kept = kept.withColumn("_copies", F.explode(F.sequence(F.lit(1), rest)))
+    return kept.drop("_salt", "_salts", "_copies", "_chunk")
 
 
 def without_matches(df: DataFrame, others: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -24,14 +24,15 @@ def json_field(parsed: Column, path: str) -> Column:
 
 
 def json_text(doc: Column, key: str) -> Column:
-    """``json_field`` for a single top-level key."""
-    return json_field(json_document(doc, f"`{key}` string"), f"{key}")
+    """``json_field`` for a single top-level key; the document is parsed once wherever the value is used."""
+    parsed = F.array(json_document(doc, f"`{key}` string"))
+    return F.get(F.transform(parsed, lambda one: json_field(one, key)), 0)
 
 
-def json_path(doc: Column, path: str) -> Column:
-    """Text at a JSON path that may index arrays, with the same missing-key rule."""
-    value = F.coalesce(F.get_json_object(doc, path), F.lit(""))
-    return F.when(F.get_json_object(doc, "$").isNotNull(), value)
+def json_item(parsed: Column, array: str, position: int, field: str) -> Column:
+    """Text of a field of one item of an array, with the same missing-key rule."""
+    readable = parsed.isNotNull() & parsed[_CORRUPT].isNull()
+    return F.when(readable, F.coalesce(F.get(parsed[array], position)[field], F.lit("")))
 
 
 def number(text: Column) -> Column:

@@ -18,8 +18,9 @@ OTHER_VERSIONS = 9
 def platform_rows(
     counts: DataFrame, platform: str = PLATFORM, debug_versions: Iterable[str] = DEBUG_VERSIONS
 ) -> DataFrame:
-    """Counter rows of one platform without debug builds."""
-    return counts.where(~F.col("app_version").isin(*debug_versions) & (F.col("event_platform") == platform))
+    """Counter rows of one platform without debug builds; rows without a version are no debug build."""
+    debug = F.coalesce(F.col("app_version").isin(*debug_versions), F.lit(False))
+    return counts.where(~debug & (F.col("event_platform") == platform))
 
 
 def _order(numeric: bool) -> tuple[Column, ...]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from haulmetry.functions.clock import local_from_epoch, to_local
 from haulmetry.functions.ratio import ratio
-from haulmetry.functions.text import json_path, json_text
+from haulmetry.functions.text import json_document, json_field, json_item
 from haulmetry.operators.exclusions import TEST_NAMES, full_load_demands, real_consigners
 from haulmetry.operators.milestones import state_epochs
 from haulmetry.operators.tickets import APP_SOURCES, ticket_demand
@@ -18,7 +18,8 @@ from haulmetry.operators.tickets import APP_SOURCES, ticket_demand
 SUBJECTS = ("%Damage%", "%Shortage%")
 APP_SOURCE = "APP"
 SHORT, NO_DAMAGE = "SHORT", "NO_DAMAGE"
-ITEM_PATHS = {"items": "$.items[0].name", "unit": "$.items[1].unit", "quantity": "$.items[2].quantity"}
+ITEM_FIELDS = {"items": (0, "name"), "unit": (1, "unit"), "quantity": (2, "quantity")}
+CLAIM_FIELDS = "items array<struct<name: string, unit: string, quantity: string>>, proofDocCodes string"
 DAMAGE_SINCE = "2024-04-01"
 
 CLAIM_COLUMNS = (
@@ -71,14 +72,15 @@ def damage_tickets(
         F.min("ticket_creation").alias("ticket_creation_time"),
     )
     totals = raised.groupBy("demand_id").agg(F.count_distinct("ticket_code").alias("total_tickets"))
-    metadata = F.col("metadata")
     trips = consignments.where(live).select("demand_id", F.col("code").alias("trip_id")).distinct()
-    customers = real_consigners(consigners.where(live), test_names).select("code", "name", "sales_manager")
+    customers = real_consigners(consigners.where(live), test_names).select("code", "name", "sales_manager").distinct()
     owners = demands.select(F.col("id").alias("demand_id"), F.col("consigner_user_code").alias("code"))
     claimed = (
         claims.where(live)
-        .withColumns({name: json_path(metadata, path) for name, path in ITEM_PATHS.items()})
-        .withColumn("proofdoccodes", json_text(metadata, "proofDocCodes"))
+        # Parsed once: what a generator makes isn't computed again above it.
+        .withColumn("_doc", F.explode(F.array(json_document(F.col("metadata"), CLAIM_FIELDS))))
+        .withColumns({name: json_item(F.col("_doc"), "items", n, field) for name, (n, field) in ITEM_FIELDS.items()})
+        .withColumn("proofdoccodes", json_field(F.col("_doc"), "proofDocCodes"))
         .select(F.col("consignment_code").alias("trip_id"), *CLAIM_COLUMNS)
         .distinct()
         .join(trips, "trip_id", "inner")

@@ -56,12 +56,15 @@ EXPORT_COLUMNS = (
 def summary_long(rates: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per version and metric: ``app_version``, ``measure``, ``key_name``, ``metrics``, ``value``.
 
-    ``labels`` maps ``row_number`` to the display label ``app_version_1``. The join is on the
-    version's own label, so a row can never carry another version's name.
+    ``labels`` maps ``row_number`` to ``app_version`` and its display label ``app_version_1``. The join
+    is on the version's own label, so a row can never carry another version's name; a version that
+    was never released is shown by its number.
     """
     shown = [m for m in MEASURES if m[0] not in SUMMARY_LEFT_OUT]
     named = rates.join(
-        labels.select(F.col("row_number").alias("flag"), "app_version_1"), "flag", "left"
+        labels.select(F.col("row_number").alias("flag"), F.coalesce("app_version_1", "app_version").alias("app_version_1")),
+        "flag",
+        "left",
     ).withColumn("app_version", F.when(F.col("flag") == OVERALL_FLAG, F.lit("overall")).otherwise(F.col("app_version_1")))
     values = named.select(
         "app_version",

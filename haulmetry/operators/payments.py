@@ -119,6 +119,7 @@ def reported_trips(
         .join(named, "consigner_code", "left_semi")
         .join(full_loads, "demand_id", "left_semi")
         .select("demand_id", "unloading_done_time", "trip_start_time")
+        .distinct()  # the reports below are over distinct rows; here they are fewer
     )
     kept = without_partial_comments(without_cancelled_comments(kept, comments), comments, partial_patterns)
     ended = consignments.where((F.col("deleted") == "false") & (F.col("state") == "TRIP_END"))
@@ -159,7 +160,7 @@ def advance_latency_daily(trips: DataFrame, transactions: DataFrame, balance: Da
     rows = (
         trips.withColumn("trip_number", _trip_number("code"))
         .join(latest, "trip_number", "left")
-        .join(balance.select("demand_id", "trip_bal"), "demand_id", "left")
+        .join(balance.select("demand_id", "trip_bal").distinct(), "demand_id", "left")
         .withColumn("time_diff", minutes)
         .withColumn("time_dispose", latency_bucket(F.col("time_diff"), _little_left() & F.col("time_diff").isNull()))
     )
@@ -192,7 +193,8 @@ def balance_latency_daily(trips: DataFrame, bank_payments: DataFrame, balance: D
     proof = json_document(F.col("offline_metadata"), "podStatus string, podValidity string, podCollectedDate string")
     collected = number(json_field(F.col("proof"), "podCollectedDate"))
     proven = (
-        trips.withColumn("proof", proof)
+        # The parsed document goes through a generator, so filters below don't parse it again.
+        trips.withColumn("proof", F.explode(F.array(proof)))
         .select(
             "code",
             "demand_id",
@@ -208,7 +210,7 @@ def balance_latency_daily(trips: DataFrame, bank_payments: DataFrame, balance: D
     due = F.when(unloaded >= entered, unloaded).when(entered >= unloaded, entered)
     rows = (
         proven.join(latest, "code", "left")
-        .join(balance.select("demand_id", "trip_bal"), "demand_id", "left")
+        .join(balance.select("demand_id", "trip_bal").distinct(), "demand_id", "left")
         .withColumn("time_diff", boundary_diff("minute", due, F.col("pay_time")))
         .withColumn("time_dispose", latency_bucket(F.col("time_diff"), _little_left() & F.col("pay_time").isNull()))
     )

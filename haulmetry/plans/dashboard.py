@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
-from haulmetry.operators.cancellations import cancellation_report, cancellations_fact
+from haulmetry.operators.cancellations import cancellation_report, cancellation_rows, cancellations_fact
 from haulmetry.operators.damage import damage_daily, damage_tickets
 from haulmetry.operators.gps import gps_offline
 from haulmetry.operators.growth import (
@@ -27,7 +27,7 @@ from haulmetry.operators.payments import (
 from haulmetry.operators.tickets import APP_SOURCES, tickets_fact, tickets_per_trip, trip_ticket_ratio_daily
 from haulmetry.operators.trips import trip_end_fact, trip_enriched
 from haulmetry.sources.sinks import publish
-from haulmetry.sources.stage import staged
+from haulmetry.sources.stage import Stage
 
 
 @dataclass(frozen=True)
@@ -35,7 +35,8 @@ class DashboardSettings:
     """What differs between deployments."""
 
     as_of: dt.datetime
-    partial_patterns: tuple[str, ...]  # LIKE patterns of a partial-load comment
+    partial_patterns: tuple[str, ...]  # LIKE patterns of a partial-load comment, in ticket reports
+    payment_partial_patterns: tuple[str, ...]  # the same, in payment reports
     portal_source: str  # ticket source of the support portal
     trip_ticket_source: str  # ticket source of trip tickets
     damage_assignee: str
@@ -47,8 +48,11 @@ class DashboardSettings:
         return (*APP_SOURCES, self.portal_source)
 
 
-def dashboard_outputs(t: Mapping[str, DataFrame], s: DashboardSettings) -> dict[str, DataFrame]:
-    """All outputs by name. Tables that feed several outputs are staged while the plans are built."""
+def dashboard_outputs(t: Mapping[str, DataFrame], s: DashboardSettings, stage: Stage) -> dict[str, DataFrame]:
+    """All outputs by name. Tables that feed several outputs are staged while the plans are built.
+
+    Clear ``stage`` once the outputs are written.
+    """
     tickets = tickets_fact(
         t["tickets"],
         t["ticket_field_values"],
@@ -63,7 +67,7 @@ def dashboard_outputs(t: Mapping[str, DataFrame], s: DashboardSettings) -> dict[
         s.ticket_sources,
         s.excluded_customers,
     )
-    tickets = staged(tickets)
+    tickets = stage.keep(tickets)
     trips = trip_end_fact(
         t["consignments"],
         t["demands"],
@@ -87,12 +91,16 @@ def dashboard_outputs(t: Mapping[str, DataFrame], s: DashboardSettings) -> dict[
         s.ticket_link_base,
     )
     cancellations = cancellations_fact(
-        t["consignments"],
-        t["consignment_states"],
-        t["demands"],
-        t["consigners"],
-        t["vehicle_types"],
-        t["demand_tokens"],
+        stage.keep(
+            cancellation_rows(
+                t["consignments"],
+                t["consignment_states"],
+                t["demands"],
+                t["consigners"],
+                t["vehicle_types"],
+                t["demand_tokens"],
+            )
+        )
     )
     per_trip = tickets_per_trip(
         t["consignments"],
@@ -103,7 +111,7 @@ def dashboard_outputs(t: Mapping[str, DataFrame], s: DashboardSettings) -> dict[
         t["ticket_activity"],
         s.trip_ticket_source,
     )
-    acquired = staged(
+    acquired = stage.keep(
         acquisition_base(
             t["subscriptions"],
             t["quotations"],
@@ -113,17 +121,17 @@ def dashboard_outputs(t: Mapping[str, DataFrame], s: DashboardSettings) -> dict[
             s.as_of.date(),
         )
     )
-    reported = staged(
+    reported = stage.keep(
         reported_trips(
             t["consignments"],
             t["trip_reports"],
             t["demands"],
             t["consigners"],
             t["demand_comments"],
-            s.partial_patterns,
+            s.payment_partial_patterns,
         )
     )
-    balance = staged(trip_balance(t["trip_reports"], t["expenses"], t["bank_payments"]))
+    balance = stage.keep(trip_balance(t["trip_reports"], t["expenses"], t["bank_payments"]))
     return {
         "dmg_raw": damage_daily(t["consignments"], t["demands"], t["consignment_states"], damage),
         "tickets": tickets,

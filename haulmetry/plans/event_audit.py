@@ -21,16 +21,16 @@ from haulmetry.operators.event_quality import (
     event_quality_counts,
     event_signature,
 )
-from haulmetry.sources.stage import staged
+from haulmetry.sources.stage import Stage
 
 
-def audit_counts(events: DataFrame, app_ids: Iterable[str], start: str, end: str) -> DataFrame:
+def audit_counts(events: DataFrame, app_ids: Iterable[str], start: str, end: str, stage: Stage) -> DataFrame:
     """Quality counters of the window: the one pass over raw events that everything else reads.
 
     They are staged, because versions, funnel and issues all start from them and they are
     small next to the events.
     """
-    return staged(event_quality_counts(event_param_flatten(events, app_ids, start, end)))
+    return stage.keep(event_quality_counts(event_param_flatten(events, app_ids, start, end)))
 
 
 def audit_outputs(

@@ -2,35 +2,34 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def staging_folder(spark: SparkSession) -> str | None:
-    """Shared folder for intermediate tables.
+class Stage:
+    """Tables of one run, written to a folder that driver and executors share.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only a single-machine session without one
-    gets a temporary folder, set for the rest of the session.
+    A written table survives lost executors and keeps column pruning and size statistics for its
+    readers. ``clear`` deletes what the run has written, once its outputs are.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
-    if not folder and spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="haulmetry-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder or None
 
-
-def staged(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and go on from the written table.
-
-    A written table survives lost executors and keeps column pruning and size statistics for
-    its readers. Without a shared folder the plan is returned as it is: results stay the same,
-    the work is repeated per reader.
-    """
-    folder = staging_folder(df.sparkSession)
-    if not folder:
-        return df
-    path = f"{folder.rstrip('/')}/haulmetry-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    def __init__(self, spark: SparkSession, folder: str | None = None):
+        folder = folder or spark.conf.get("spark.checkpoint.dir", "")
+        if not folder:
+            raise ValueError("name a shared folder, or set spark.checkpoint.dir")
+        self._spark, self._folder, self._paths = spark, folder.rstrip("/"), []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Write ``df`` once and go on from the written table."""
+        path = f"{self._folder}/haulmetry-{uuid.uuid4().hex}"
+        self._paths.append(path)
+        df.write.parquet(path)
+        return self._spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        """Delete the tables of this run."""
+        for name in self._paths:
+            path = self._spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(path, True)
+        self._paths = []

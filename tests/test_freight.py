@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from haulmetry.functions.rows import fanout_left_join, ordinal_within
+from haulmetry.functions.rows import dealt_in_order, fanout_left_join, ordinal_within
 from haulmetry.operators import cancellations, gps, growth, milestones, payments, requests, tickets
 from haulmetry.sources.schemas import schema
 
@@ -107,17 +107,40 @@ def test_fanout_join_equals_left_join(spark, hot_rows, identical_rows):
     left = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "d"), (4, "e")], "k int, l string")
     many = [(2, n % 9) for n in range(60)] + [(None, 7)] * 8 + [(3, 8)] * 8 + [(4, 1), (4, 1), (4, None)]
     right = spark.createDataFrame(many, "k int, r int")
-    got = fanout_left_join(left, right, ["k"], identical_rows, hot_rows, salts=4).select("k", "l", "r")
+    got = fanout_left_join(left, right, ["k"], identical_rows, hot_rows).select("k", "l", "r")
     plain = left.join(right, "k", "left").select("k", "l", "r")
     assert Counter(got.collect()) == Counter(plain.collect())
 
 
-def test_ordinals_of_a_hot_key(spark):
+@pytest.mark.parametrize("order", ["spread", "equal", "null"])
+def test_a_hot_key_is_dealt_evenly(spark, tmp_path, order):
+    when = {"spread": F.timestamp_seconds("id"), "equal": F.timestamp_seconds(F.lit(0)), "null": F.lit(None)}[order]
+    rows = spark.range(20_000).select(
+        F.when(F.col("id") % 10 == 0, "other").otherwise("hot").alias("k"), when.cast("timestamp_ntz").alias("t"), F.lit(1).alias("n")
+    )
+    path = str(tmp_path / "dealt")
+    dealt_in_order(rows, ["k"], "t", ["n"], 8).write.parquet(path)
+    dealt = spark.read.parquet(path)
+    assert dealt.groupBy("_part").count().agg(F.max("count")).first()[0] < 2 * 20_000 / 8
+    got = ordinal_within(dealt, ["k"], "t", ["n"], "o").groupBy("k").agg(F.min("o"), F.max("o"), F.count_distinct("o"))
+    assert {tuple(r) for r in got.collect()} == {("hot", 1, 18_000, 18_000), ("other", 1, 2_000, 2_000)}
+
+
+def test_salts_grow_with_the_key(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "b")], "k int, l string")
+    right = spark.range(30_000).select(F.when(F.col("id") < 3, 1).otherwise(2).alias("k"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("r"))
+    got = fanout_left_join(left, right, ["k"], identical_rows=True, hot_rows=1_000)
+    assert got.groupBy("k").count().orderBy("k").collect() == [(1, 3), (2, 29_997)]
+
+
+def test_ordinals_of_a_hot_key(spark, tmp_path):
     rng = random.Random(3)
     start = dt.datetime(2024, 1, 1)
     data = [("hot" if n % 3 else f"k{n % 7}", start + dt.timedelta(minutes=rng.randrange(5_000)), n) for n in range(900)]
     data += [(None, None, 1_000), ("hot", None, 1_001), ("hot", None, 1_002)]
-    got = ordinal_within(spark.createDataFrame(data, "k string, t timestamp_ntz, n int"), ["k"], "t", ["n"], "o")
+    path = str(tmp_path / "dealt")
+    dealt_in_order(spark.createDataFrame(data, "k string, t timestamp_ntz, n int"), ["k"], "t", ["n"]).write.parquet(path)
+    got = ordinal_within(spark.read.parquet(path), ["k"], "t", ["n"], "o")
     groups = defaultdict(list)
     for key, when, n in data:
         groups[key].append((when is not None, -(when - start).total_seconds() if when else 0, n))

@@ -77,13 +77,14 @@ def test_times_do_not_depend_on_the_session_zone(spark):
 )
 def test_missing_json_key_is_blank_and_bad_document_is_null(spark, doc, value):
     assert one(spark, text.json_text(F.lit(doc).cast("string"), "ptl")) == value
-    assert one(spark, text.json_path(F.lit(doc).cast("string"), "$.ptl")) == value
 
 
 def test_json_array_items(spark):
     doc = F.lit('{"items": [{"name": "box"}, {"unit": "kg"}]}')
-    assert one(spark, text.json_path(doc, "$.items[1].unit")) == "kg"
-    assert one(spark, text.json_path(doc, "$.items[2].quantity")) == ""
+    parsed = text.json_document(doc, "items array<struct<name: string, unit: string, quantity: string>>")
+    assert one(spark, text.json_item(parsed, "items", 1, "unit")) == "kg"
+    assert one(spark, text.json_item(parsed, "items", 2, "quantity")) == ""
+    assert one(spark, text.json_item(text.json_document(F.lit("{bad"), "items array<struct<unit: string>>"), "items", 0, "unit")) is None
 
 
 def test_text_numbers_never_raise(spark):
