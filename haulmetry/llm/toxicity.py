@@ -3,7 +3,7 @@
 Each word is toxic or not. The field scores a word by hashed features (the word, its beginning and
 end, the words before and after) and by the label of the word before it. Forward-backward gives each
 word's marginal; a document's score is a logistic function of the expected number of toxic words and
-of the surest one; words with a marginal of a half or more are its offending offsets.
+of the surest one; words with a marginal of more than a half are its offending offsets.
 
 Training words are labelled from document labels: words that are far more frequent in toxic documents,
 and not because one text was copied, are toxic there. Gradients of the likelihood are
@@ -270,11 +270,11 @@ def _features(weights: np.ndarray, moves: np.ndarray, words: Words, texts: list[
     starts = (np.cumsum(counts) - counts)[some]
     out[some, 0] = np.log1p(np.add.reduceat(_sigmoid(logit), starts))
     out[some, 1] = np.clip(np.maximum.reduceat(logit, starts), -12, 12)
-    for k in some[out[some, 1] >= 0]:
+    for k in some[out[some, 1] > 0]:
         start = int(counts[:k].sum())
-        places = np.flatnonzero(logit[start : start + counts[k]] >= 0).tolist()
-        found = {n: m.span() for n, m in enumerate(WORD.finditer(texts[k])) if n in set(places)} if len(places) < 64 else dict(enumerate(m.span() for m in WORD.finditer(texts[k])))
-        spans[k] = ",".join(f"{found[n][0]}:{found[n][1]}" for n in places)
+        places = np.flatnonzero(logit[start : start + counts[k]] > 0).tolist()
+        at = [m.span() for m in WORD.finditer(texts[k])]
+        spans[k] = ",".join(f"{at[n][0]}:{at[n][1]}" for n in places)
     return out, spans
 
 
@@ -309,8 +309,8 @@ def toxicity(
 
     Learns from labelled documents outside the held-out fold, about ``labelled`` at most. A document
     is toxic if any of its label rows says so; null labels and ids say nothing. Texts that are null
-    or have no words get the score of texts without toxic words. Without labels of both kinds every
-    score is the rate of toxic documents.
+    or have no words get the score of texts without toxic words. Where no word tells toxic documents
+    from others, for want of labels of both kinds or otherwise, every score is the rate of toxic ones.
     """
     spark = docs.sparkSession
     known = (
@@ -332,7 +332,7 @@ def toxicity(
     sent = spark.sparkContext.broadcast((weights, moves, np.zeros(3)))
     rows = train.mapInArrow(partial(_scored, sent), "toxic int, x0 double, x1 double, score double, spans string").select("toxic", "x0", "x1").toArrow()
     y = rows["toxic"].to_numpy()
-    if len(y) and 0 < y.sum() < len(y):
+    if weights.any():
         scale = _logistic(np.column_stack((rows["x0"].to_numpy(), rows["x1"].to_numpy())), y)
     else:
         rate = float(np.clip(y.mean() if len(y) else 0.0, 1e-6, 1 - 1e-6))

@@ -43,12 +43,13 @@ def test_matches_sql(spark, duck, name):
     assert columns == sorted(want.column_names) and rounded(got) == rounded(want)
 
 
-def test_mix_meets_its_targets(spark):
-    rows = QUERIES["op6_mixing"](spark, DATA).toPandas()
+def test_mix_meets_its_targets(spark, duck):
+    run = lambda: QUERIES["op6_mixing"](spark, DATA).toPandas().sort_values("doc_id", ignore_index=True)
+    rows, source = run(), dict(duck.sql("select doc_id, source from documents").fetchall())
     assert (rows.taken <= 2 * rows["size"]).all()
-    by = rows.groupby(rows.target.round(6)).agg({"taken": "sum", "size": "max"})
-    assert all(abs(r.taken - t) <= r["size"] for t, r in by.iterrows())
-    assert rows.equals(QUERIES["op6_mixing"](spark, DATA).toPandas())
+    by = rows.groupby(rows.doc_id.map(source)).agg({"taken": "sum", "size": "max", "target": "first"})
+    assert (abs(by.taken - by.target) <= by["size"]).all()
+    assert rows.equals(run())
 
 
 # Near-duplicates
@@ -242,7 +243,7 @@ def test_removed_lines_stand_in_earlier_documents(spark, docs):
     rows = QUERIES["op3_line_dedup"](spark, DATA).collect()
     assert any(r.n_removed for r in rows)
     for r in rows:
-        left, whole = Counter(r.text.split("\n")), Counter(texts[r.doc_id].split("\n"))
+        left, whole = Counter(r.text.split("\n") if r.n_removed < r.n_lines else []), Counter(texts[r.doc_id].split("\n"))
         assert not left - whole
         assert all(seen[line.strip()] < r.doc_id for line in whole - left if line.strip())
 
@@ -311,7 +312,7 @@ def test_forward_backward():
 
 def test_held_out_toxicity(spark):
     rng = random.Random(9)
-    plain, bad = [f"word{k}" for k in range(300)], ["nasty", "vile", "foul", "rotten"]
+    plain, bad = ["".join(rng.choice("aeioklmnrst") for _ in range(6)) for _ in range(300)], ["nasty", "vile", "foul", "rotten"]
     rows, labels = [], []
     for k in range(600):
         words, toxic = [rng.choice(plain) for _ in range(rng.randint(20, 120))], k % 5 == 0
