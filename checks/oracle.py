@@ -201,6 +201,7 @@ def _event_audit() -> dict[str, str]:
             from summary_rows s left join app_version_rank r on r.row_number = s.flag
             left join release_date_first_seen d on d.app_version = r.app_version""",
         "summary_by_version": f"select key_name, metrics, {pivots} from summary_rows group by 1, 2",
+        "summary_by_version_labelled": "select key_name, metrics, app_version, value from summary_long",
         "breach_flag": f"select *, coalesce(measure in {_list(MANDATORY)} and value < 99, false) as breach "
         "from summary_long",
         "issue_classifier": classify(f"where {no_nulls}"),

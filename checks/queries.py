@@ -116,6 +116,11 @@ class Queries:
         plain = self._ranked().select("app_version", "row_number", F.col("row_number").alias("app_version_1"))
         return event_issues.summary_by_version(event_issues.summary_long(self.compliance_rates(), plain), FLAGS)
 
+    def summary_by_version_labelled(self) -> DataFrame:
+        """One column per version by its label, as the audit shows them, and back to rows to be compared."""
+        wide = event_issues.summary_by_version(self.summary_long())
+        return wide.unpivot(["key_name", "metrics"], wide.columns[2:], "app_version", "value")
+
     def breach_flag(self) -> DataFrame:
         return event_issues.breach_flag(self.summary_long())
 

@@ -128,7 +128,7 @@ def test_whole_audit(spark, sources):
     assert funnel.where(F.greatest(*event_quality.COUNTERS) > total).count() == 0
 
 
-LIGHT_NAMES = sorted(set(QUERIES) - {"summary_by_version"})
+LIGHT_NAMES = sorted(set(QUERIES) - {"summary_by_version", "summary_by_version_labelled"})
 
 
 @pytest.mark.parametrize("name", LIGHT_NAMES)
