@@ -119,7 +119,7 @@ class Queries:
     def summary_by_version_labelled(self) -> DataFrame:
         """One column per version by its label, as the audit shows them, and back to rows to be compared."""
         wide = event_issues.summary_by_version(self.summary_long())
-        return wide.unpivot(["key_name", "metrics"], wide.columns[2:], "app_version", "value")
+        return wide.unpivot(["key_name", "metrics"], [F.col(f"`{c}`") for c in wide.columns[2:]], "app_version", "value")
 
     def breach_flag(self) -> DataFrame:
         return event_issues.breach_flag(self.summary_long())
