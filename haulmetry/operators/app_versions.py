@@ -34,10 +34,12 @@ def app_version_rank(
     others: int = OTHER_VERSIONS,
     drop_lowest: bool = True,
     numeric_order: bool = True,
+    released: DataFrame | None = None,
 ) -> DataFrame:
     """One latest version plus the largest others by rows, labelled ``app_latest_<n>`` from newest.
 
-    ``latest_version`` defaults to the highest version. The lowest version is left out first
+    ``latest_version`` defaults to the highest version, or with ``released`` (``app_version``,
+    ``release_date``) to the one released last; versions without a date come before. The lowest version is left out first
     when ``drop_lowest`` is set. At most ``others + 1`` rows come back.
     """
     version = F.col("app_version")
@@ -50,7 +52,11 @@ def app_version_rank(
     # Both readings of the sizes below share one exchange, so the counters are read once.
     row = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(_order(numeric_order))], version, "total_rows")
     wanted = F.max(row) if latest_version is None else F.max(F.when(version == latest_version, row))
-    ends = sizes.agg(F.min(row).alias("lowest"), wanted.alias("latest"))
+    dated = sizes
+    if released is not None and latest_version is None:
+        dated = sizes.join(released.select("app_version", "release_date"), "app_version", "left")
+        wanted = F.max(F.struct("release_date", row.alias("row")))["row"]
+    ends = dated.agg(F.min(row).alias("lowest"), wanted.alias("latest"))
     # The lowest and the latest may be among the largest, so two more are taken.
     largest = sizes.orderBy(F.col("total_rows").desc(), version.desc()).limit(others + 2)
     named = {

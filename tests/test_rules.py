@@ -213,3 +213,19 @@ def test_issue_rules_and_newest_version(spark):
     assert "screen name missing" in {r.issue_type for r in every.collect()}
     newest = event_issues.issue_export(event_issues.issue_latest_version(issues, labels)).collect()
     assert [(r.app_version, r.event_name, r.issue_type) for r in newest] == [("2", "n", "user_code missing")]
+
+
+def test_latest_by_release_date(spark):
+    counts = spark.createDataFrame(
+        [(f"1.{n}.0", "android", 10 + n) for n in range(5)] + [(None, "android", 99), ("1.1.0 debug", "android", 99)],
+        "app_version string, event_platform string, total_rows bigint",
+    )
+    released = spark.createDataFrame([("1.4.0", "2024-01-01"), ("1.2.0", "2024-02-01")], "app_version string, release_date string")
+    for dates, dropped_first in ((None, "1.4.0"), (released, "1.2.0")):
+        ranked = app_versions.app_version_rank(counts, others=0, released=dates)
+        assert [r.app_version for r in ranked.collect()] == [dropped_first]
+
+
+def test_rows_without_a_version_are_no_debug_build(spark):
+    counts = spark.createDataFrame([("1.0", "android"), (None, "android"), ("1.1.0 debug", "android")], "app_version string, event_platform string")
+    assert {r.app_version for r in app_versions.platform_rows(counts).collect()} == {"1.0", None}
