@@ -268,16 +268,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     stars = members.where("node != first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     pairs = staged(sketched(sketched(stars, "b", "y"), "a", "x").where(_near("x", "y")).select("a", "b"), "pairs")
     links = verified_pairs(pairs, texts, least)
+    roots = components(links)
 
-    def unsettled(links: DataFrame) -> DataFrame:
+    def unsettled() -> DataFrame:
         """Members of bands that hold several classes; the links of the other bands can't change a class."""
-        placed = members.join(components(links), "node", "left").select("nth", "band", "node", F.coalesce("root", "node").alias("root"))
+        placed = members.join(roots, "node", "left").select("nth", "band", "node", F.coalesce("root", "node").alias("root"))
         several = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
         return staged(sketched(placed.join(several.select("band"), "band"), "node", "sketch", "bands"), "open")
 
-    def compared(x: DataFrame, y: DataFrame) -> DataFrame:
-        """Links between members of different classes that were not compared yet."""
-        nonlocal pairs, links
+    def joined(x: DataFrame, y: DataFrame) -> bool:
+        """Compare members of different classes that were not compared yet; whether classes changed."""
+        nonlocal pairs, links, roots
         # Where all members meet all, a pair that shares several bands counts in the first of them.
         earlier = [F.slice(f"{side}.bands", 1, F.col(f"{side}.nth")) for side in "xy"]
         once = F.expr("x.root != y.root and x.node < y.node") & ~F.arrays_overlap(*earlier)
@@ -291,24 +292,27 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         )
         new = staged(new, "pairs")
         found = verified_pairs(new, texts, least)
-        pairs, links = pairs.union(new), links.union(found)
-        return found
+        pairs = pairs.union(new)
+        if found.isEmpty():
+            return False
+        links = links.union(found)
+        roots = components(links)
+        return True
 
     # A few rounds against another member of each band join what can be joined at one row a member;
     # few classes are left for the last round, in which all that are still apart meet.
     for k in range(ROUNDS):
-        rest = unsettled(links)
+        rest = unsettled()
         turn = F.xxhash64("node", "band", F.lit(k))
         centre = rest.groupBy("band").agg(F.min_by(F.struct("nth", "node", "root", "sketch", "bands"), turn).alias("c")).select("band", "c.*")
-        none = compared(centre, rest).isEmpty()
+        changed = joined(centre, rest)
         dropped(rest)
-        if none:
+        if not changed:
             break
-    rest = unsettled(links)
-    compared(rest, rest)
+    rest = unsettled()
+    joined(rest, rest)
     dropped(rest)
     dropped(members)
-    roots = components(links)
     classes = (
         nodes.join(roots, "node", "left")
         .select("key", F.coalesce("root", "node").alias("class_id"), "copies")
