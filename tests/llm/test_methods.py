@@ -258,6 +258,34 @@ def test_shared_passages_are_removed(spark):
     assert all(got[k].n_removed == 3 and got[k].partners == [0] and len(got[k].text.split("\n")) == 2 for k in range(1, 40))
 
 
+def _left_behind(rows):
+    """Places of lines with words in blocks of ten words or more that an earlier document holds, by all stretches of lines."""
+    out, held = {}, set()
+    for doc, text in sorted(rows):
+        lines = [x.strip() for x in text.split("\n")]
+        stretches = [(a, b) for a in range(len(lines)) for b in range(a + 1, len(lines) + 1) if len(" ".join(lines[a:b]).split()) >= linedup.MIN_WORDS]
+        out[doc] = {k for a, b in stretches if tuple(lines[a:b]) in held for k in range(a, b) if lines[k]}
+        held |= {tuple(lines[a:b]) for a, b in stretches}
+    return out
+
+
+def test_no_common_block_is_left(spark):
+    """Short lines, each first held by some other document; blocks in another order, and twice in one."""
+    rng = random.Random(11)
+    short = [" ".join(f"s{k}w{j}" for j in range(1 + k % 5)) for k in range(40)]
+    rows = [(k, line) for k, line in enumerate(short)]
+    rows += [(100 + k, "\n".join(rng.choice(["", *short[:12]]) for _ in range(rng.randint(3, 14)))) for k in range(120)]
+    block, other = short[20:26], short[30:36]
+    rows += [(300, "\n".join(["a", *block, "b", *other])), (301, "\n".join([*other, "c", *block, "d", *other])), (302, "\n".join(["e", *block]))]
+    want, texts = _left_behind(rows), dict(rows)
+    got = {r.doc_id: r for r in linedup.line_dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got[301].n_removed == 18 and got[302].text == "e"
+    for doc, text in texts.items():
+        lines = text.split("\n")
+        left = Counter(filter(None, got[doc].text.split("\n")))
+        assert left == Counter(x for k, x in enumerate(lines) if x and k not in want[doc])
+
+
 # Language model
 
 
