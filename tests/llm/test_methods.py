@@ -195,6 +195,26 @@ def test_novel_strings():
     assert found(f"auth {key} and again the auth {key}") == []
 
 
+def _random(seed, n, letters="ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"):
+    rng = random.Random(seed)
+    return "".join(rng.choice(letters) for _ in range(n))
+
+
+def _novel(text):
+    spans = secrets.Novelty(["configuration_value", "example_identifier"]).spans(text, secrets.lowered(text))
+    return [text[a:b] for a, _, b in spans]
+
+
+def test_novel_values_of_assignments():
+    key, part, letters = _random(1, 40), [_random(k, 70) for k in (2, 3, 4)], _random(5, 32, "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    for before in ("AWS_SECRET_ACCESS_KEY=", "export PRIVATE_KEY=", "https://a.example/b?auth=", "private_key: ", "auth.key."):
+        assert _novel(f"{before}{key}\n") == [key]
+        assert _novel(f"{before}{letters}\n") == [letters]
+    assert _novel(f"PRIVATE_KEY={key[:38]}==\n") == [key[:38] + "=="]
+    assert _novel(f"Authorization: Bearer {'.'.join(part)} ok") == part
+    assert _novel(f"a picture=called.{key} of a house") == []
+
+
 # Archives
 
 
