@@ -3,8 +3,9 @@
 The base kinds are patterns. The method looks at every long string in the neighbourhood of a
 sensitive word and measures its marginal compressed bytes: what zstandard needs for the text around
 it with the string, less what it needs without, when primed with a dictionary of identifiers that are
-frequent in the corpus and of the code around. Words, identifiers and repeated placeholders cost next
-to nothing; keys cost almost all of their bytes, and are reported.
+frequent in the corpus and of the code around, less the string's own repeats there. Words, identifiers
+and frequent placeholders cost next to nothing; keys cost almost all of their bytes, and are reported
+as often as they stand.
 """
 
 from __future__ import annotations
@@ -95,7 +96,10 @@ class Novelty:
             near = np.searchsorted(places, (start, a), side="right").tolist()
             if not any(k and at - places[k - 1] <= BEFORE for at, k in zip((start, a), near, strict=True)):
                 continue
-            around = (text[max(0, a - AROUND) : a] + " " + text[b : b + AROUND]).encode("utf-8", "surrogatepass")
+            # Repeats of the string itself are blanked, also those that the edges would cut.
+            more, blank = AROUND + b - a, " " * (b - a)
+            ahead = text[max(0, a - more) : a].replace(m[0], blank)[-AROUND:]
+            around = (ahead + " " + text[b : b + more].replace(m[0], blank)[:AROUND]).encode("utf-8", "surrogatepass")
             if self.cost(around, m[0].encode()) >= NOVEL:
                 out.append((a, 3, b))
         return out
@@ -130,11 +134,17 @@ def _scanned(sent, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def frequent_identifiers(docs: DataFrame, text: str = "text", most: int = IDENTIFIERS) -> list[str]:
-    """The identifiers that most lines with a sensitive word hold, over the whole corpus; at most ``most``."""
-    lines = docs.select(F.explode(F.split(docs[text].cast("string"), "\n")).alias("line")).where(
-        F.lower("line").rlike("password|passwd|secret|token|api_?key|credential|private|auth")
+    """The identifiers that most texts hold in lines with a sensitive word, over the whole corpus; at most ``most``.
+
+    One in a single text is not frequent, however often it stands there: a key that is set and then used.
+    """
+    lines = F.filter(
+        F.split(docs[text].cast("string"), "\n"),
+        lambda x: F.lower(x).rlike("password|passwd|secret|token|api_?key|credential|private|auth"),
+    )
+    found = docs.select(F.array_join(lines, "\n").alias("lines")).select(
+        F.explode(F.array_distinct(F.regexp_extract_all("lines", F.lit(r"[A-Za-z_][A-Za-z_]{3,40}"), F.lit(0)))).alias("w")
     )
-    found = lines.select(F.explode(F.array_distinct(F.regexp_extract_all("line", F.lit(r"[A-Za-z_][A-Za-z_]{3,40}"), F.lit(0)))).alias("w"))
     top = found.groupBy("w").count().where("count > 1").orderBy(F.desc("count"), "w").limit(most)
     return [r["w"] for r in top.collect()]
 

@@ -215,6 +215,22 @@ def test_novel_values_of_assignments():
     assert _novel(f"a picture=called.{key} of a house") == []
 
 
+def test_novel_repeats():
+    """A secret that is set and used near by is reported each time, wherever the copies are."""
+    key, other = _random(6, 32), _random(7, 32)
+    assert _novel(f"auth {key} and again the auth {key}") == [key, key]
+    for gap in (1, 40, 230, 250, 260):
+        assert _novel(f"SECRET_KEY={key}\n{'a b ' * (gap // 4)}\nlogin(secret='{key}', auth='{other}')") == [key, key, other]
+
+
+def test_repeated_letters_are_no_identifiers(spark):
+    key = _random(8, 32, "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    rows = [(1, f"auth = '{key}'\nuse_auth('{key}')"), (2, "use_auth(x)")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert secrets.frequent_identifiers(docs) == ["use_auth"]
+    assert [r.spans.count("novel") for r in secrets.secrets(docs).orderBy("doc_id").collect()] == [2, 0]
+
+
 # Archives
 
 
