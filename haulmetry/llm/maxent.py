@@ -1,7 +1,7 @@
 """A hashed maximum-entropy language model with a class-factored softmax.
 
 A token is predicted in two steps, its class and then itself in its class, from features of the tokens
-before it: the last one, the one before that (a skip), and a hash of both. The ``HEAD`` most
+before it: the last one, the two before that (skips), and a hash of the last two. The ``HEAD`` most
 frequent training tokens are in classes of ``WIDE``, and a softmax over the same features chooses in
 them. All other tokens are in ``TAIL`` classes by their ending, inside which each has its smoothed
 share of the training tokens; a class keeps a share for tokens it has never seen, so probabilities sum
@@ -44,8 +44,7 @@ SMOOTH = 0.1
 _CLASSES = HEAD // WIDE + TAIL
 _SYMBOLS = HEAD + TAIL + 1  # and what stands before a document
 _NONE = _SYMBOLS - 1
-_ROWS1 = 1 + 2 * _SYMBOLS + HASHED
-_ROWS2 = 1 + 2 * _SYMBOLS
+_ROWS1 = _ROWS2 = 1 + 3 * _SYMBOLS + HASHED
 _SIZE1, _SIZE2 = _ROWS1 * _CLASSES, _ROWS2 * HEAD
 _BLOCKS = 32
 
@@ -172,13 +171,13 @@ class Symbols(dict):
 def features(symbol: np.ndarray, nth: np.ndarray) -> np.ndarray:
     """Rows of the class weights that each token's history selects; ``nth`` is its number in its text."""
     last = []
-    for back in (1, 2):
+    for back in (1, 2, 3):
         x = np.full(len(symbol), _NONE, np.int64)
         x[back:] = symbol[:-back]
         x[nth < back] = _NONE
         last.append(x)
     pair = (last[0] * 1_000_003 + last[1] * 7919) % HASHED
-    return np.column_stack([1 + k * _SYMBOLS + x for k, x in enumerate(last)] + [1 + 2 * _SYMBOLS + pair])
+    return np.column_stack([1 + k * _SYMBOLS + x for k, x in enumerate(last)] + [1 + 3 * _SYMBOLS + pair])
 
 
 def _class(symbol: np.ndarray) -> np.ndarray:
@@ -212,8 +211,10 @@ def _steps(weights: np.ndarray, rows: np.ndarray, symbol: np.ndarray):
     classes = _log_softmax(classes + w1[0])
     head = np.flatnonzero(symbol < HEAD)
     group = symbol[head] // WIDE
-    within = [group, *(rows[head, k] * (HEAD // WIDE) + group for k in (0, 1))]
-    inner = w2[within[0]] + w2[within[1]] + w2[within[2]]
+    within = [group, *(rows[head, k] * (HEAD // WIDE) + group for k in range(rows.shape[1]))]
+    inner = w2[within[0]]
+    for at in within[1:]:
+        inner += w2[at]
     return classes, head, within, _log_softmax(inner)
 
 

@@ -353,6 +353,24 @@ def test_probabilities_sum_to_one():
     assert (10 ** maxent.log_probabilities(weights, rows, every)).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_all_features_choose_in_classes():
+    """A token of the head that only the pair before it, or only the third before it, tells apart is learnt."""
+
+    class Small:
+        head_counts = np.ones(maxent.HEAD)
+        tail_n = np.ones(maxent.TAIL)
+
+    rng = np.random.default_rng(2)
+    for far in (False, True):
+        x, y = rng.integers(0, 2, (2, 3000))
+        symbol = np.column_stack([x, 4 + np.where(far, 0, y), np.full(3000, 6), 2 + (x if far else x ^ y)] if far else [np.full(3000, 6), x, 4 + y, 2 + (x ^ y)]).reshape(-1)
+        rows = maxent.features(symbol, np.tile(np.arange(4), 3000))
+        weights, past = maxent.start_weights(Small), np.ones(maxent._SIZE1 + maxent._SIZE2, np.float32)
+        for _ in range(8):
+            maxent.learn(weights, past, rows, symbol, 0.5)
+        assert maxent.log_probabilities(weights, rows, symbol)[3::4].mean() > math.log10(0.9)
+
+
 # Toxicity
 
 
