@@ -100,4 +100,90 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from verdicts
 """
 
-SQL = {"op6_mixing": _MIX, "op10_quality": _QUALITY}
+
+def _leaf(*columns: str) -> str:
+    parts = (f"coalesce(strlen({c}::varchar) || ':' || {c}::varchar, '-')" for c in columns)
+    return f"sha256({' || '.join(parts)})"
+
+
+def _steps(tree: str, key: str) -> str:
+    """Siblings of a leaf from its level upwards, marked by their side; nothing for an even one."""
+    return f"""
+  select l.nr, list(case when s.digest is null then '' when s.idx < t.idx then 'L' || s.digest else 'R' || s.digest end order by t.level) as steps
+  from {key} l
+  join {tree} t on t.grp = l.grp and t.idx = l.r >> t.level and t.n > 1
+  left join {tree} s on s.grp = t.grp and s.level = t.level and s.idx = xor(t.idx, 1)
+  group by l.nr"""
+
+
+_GROW = """
+  union all
+  select grp, level + 1, idx // 2, (any_value(n) + 1) // 2, sha256(string_agg(digest, '' order by idx))
+  from {0} where n > 1 group by grp, level, idx // 2"""
+
+_FOLD = "case when s = '' then sha256(a) when s[1] = 'L' then sha256(s[2:] || a) else sha256(a || s[2:]) end"
+
+_MANIFEST = f"""
+with recursive docs as (
+  select *, row_number() over () as nr, coalesce('=' || lang, '') as grp,
+         xor(4294967295, list_reduce([4294967295::bigint] || list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint),
+           lambda a, ch: list_reduce([xor(a, ch)] || range(8), lambda c, i: xor(c >> 1, 3988292384 * (c & 1))))) as crc
+  from documents
+),
+leaves as (
+  select nr, grp, doc_id, {_leaf("doc_id", "source", "lang", "n_chars", "text")} as leaf,
+         case when crc % 7 = 0 then {_leaf("doc_id", "source", "lang", "(n_chars + 1)", "text")} end as altered
+  from docs
+),
+ranked as (
+  select *, row_number() over (partition by grp order by doc_id nulls first, leaf) - 1 as r, count(*) over (partition by grp) as n
+  from leaves
+),
+tree as (
+  select grp, 0 as level, r as idx, n, leaf as digest from ranked{_GROW.format("tree")}
+),
+subs as (
+  select digest as subroot, grp as nr, '' as grp, row_number() over (order by grp) - 1 as r, count(*) over () as n from tree where n = 1
+),
+trunk as (
+  select grp, 0 as level, r as idx, n, subroot as digest from subs{_GROW.format("trunk")}
+),
+low as ({_steps("tree", "ranked")}),
+high as ({_steps("trunk", "subs")}),
+every as (
+  select r.*, s.subroot, (select digest from trunk where n = 1) as root,
+         coalesce(low.steps, []) || coalesce(high.steps, []) as steps
+  from ranked r join subs s on s.nr = r.grp left join low on low.nr = r.nr left join high on high.nr = r.grp
+),
+proved as (
+  select *, sha256(list_aggregate(list_transform([''] || steps, lambda s: s[2:]), 'string_agg', '')) as proof_sha256,
+         list_reduce([coalesce(altered, leaf)] || steps, lambda a, s: {_FOLD}) as folded_root
+  from every
+)
+select doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root as verified from proved
+"""
+
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+_SEARCH = f"""
+with docs as (select row_number() over () as nr, doc_id, {_TERMS} as terms from documents),
+items as (select distinct item_id, unnest({_TERMS}) as term from benchmark),
+sums as (select count(*) filter (where len(terms) > 0)::bigint as n, sum(len(terms))::bigint as l from docs),
+held as (select nr, term, count(*)::bigint as tf from (select nr, unnest(terms) as term from docs) group by nr, term),
+weights as (
+  select term, floor(1000 * ln((2 * any_value(n) + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+  from held, sums where term in (select term from items) group by term
+),
+lengths as (select nr, doc_id, 100 - 90 + (90 * len(terms)::bigint * n) // l as m from docs, sums where len(terms) > 0),
+scores as (
+  select i.item_id, d.doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint as score
+  from items i join held h using (term) join weights using (term) join lengths d using (nr)
+  group by i.item_id, h.nr, d.doc_id
+),
+places as (
+  select *, row_number() over (partition by item_id order by score desc, doc_id nulls last) as rank from scores where score > 0
+)
+select item_id, rank::int as rank, doc_id, score from places where rank <= 10
+"""
+
+SQL = {"op12_search": _SEARCH, "op6_mixing": _MIX, "op10_quality": _QUALITY, "op13_manifest": _MANIFEST}

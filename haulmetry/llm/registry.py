@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from haulmetry.llm import archive, decontam, linedup, maxent, minhash, mixing, oracle, quality, secrets, tokenfile, toxicity
+from haulmetry.llm import archive, decontam, lexical, linedup, maxent, merkle, minhash, mixing, oracle, quality, secrets, tokenfile, toxicity
 
 from haulmetry.llm.common import ship
 
@@ -61,6 +61,14 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_report(_table(spark, folder, "documents")).withColumn("broken", F.concat_ws(",", "broken"))
 
 
+def op12_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.ranked(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op13_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.verified(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query per operator, and the pipeline."""
     found = {n: f for n, f in globals().items() if n.startswith("op") and n[2].isdigit()}
