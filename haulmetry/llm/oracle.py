@@ -186,4 +186,24 @@ places as (
 select item_id, rank::int as rank, doc_id, score from places where rank <= 10
 """
 
-SQL = {"op12_search": _SEARCH, "op6_mixing": _MIX, "op10_quality": _QUALITY, "op13_manifest": _MANIFEST}
+_SOUND = "coalesce(len(v) > 0 and len(list_filter(v, lambda x: x is null or isnan(x) or isinf(x))) = 0 and len(list_filter(v, lambda x: x != 0)) > 0, false)"
+
+_VECTORS = f"""
+with recursive vectors as (select row_number() over () as nr, vec_id, embedding::double[] as v from embeddings),
+sound as (select * from vectors where {_SOUND}),
+links as (
+  select a.nr, b.nr as other, b.vec_id from sound a join sound b on a.nr != b.nr and len(a.v) = len(b.v)
+  where list_cosine_similarity(a.v, b.v) >= 0.9
+),
+reached as (
+  select nr, nr as other from vectors
+  union
+  select r.nr, l.other from reached r join links l on l.nr = r.other
+),
+components as (select r.nr, min(vec_id) as component_id from reached r join vectors v on v.nr = r.other group by r.nr),
+counts as (select nr, count(*) as n from links group by nr)
+select vec_id, coalesce(n, 0)::bigint as n_links, component_id, coalesce(vec_id = component_id, component_id is null) as kept
+from vectors join components using (nr) left join counts using (nr)
+"""
+
+SQL = {"op11_near_vectors": _VECTORS, "op12_search": _SEARCH, "op6_mixing": _MIX, "op10_quality": _QUALITY, "op13_manifest": _MANIFEST}

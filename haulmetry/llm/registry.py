@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from haulmetry.llm import archive, decontam, lexical, linedup, maxent, merkle, minhash, mixing, oracle, quality, secrets, tokenfile, toxicity
+from haulmetry.llm import archive, decontam, hnsw, lexical, linedup, maxent, merkle, minhash, mixing, oracle, quality, secrets, tokenfile, toxicity
 
 from haulmetry.llm.common import ship
 
@@ -61,6 +61,10 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_report(_table(spark, folder, "documents")).withColumn("broken", F.concat_ws(",", "broken"))
 
 
+def op11_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return hnsw.near_vectors(_table(spark, folder, "embeddings"))
+
+
 def op12_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical.ranked(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
