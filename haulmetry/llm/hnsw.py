@@ -27,14 +27,16 @@ from haulmetry.llm.common import dropped, file_system, mix, new_path, parts_for,
 from haulmetry.llm.minhash import components
 
 NEAR = 0.9
-#: Rows of a shard, on average: the unit that one task builds, and holds when it searches.
-SHARD_ROWS = 4096
+#: A task builds one shard, and holds two when it searches: so many numbers each, on average (64 MB).
+#: A larger graph costs a query less than one more graph, so there are no more shards than that asks
+#: for, but so many at least, which are built side by side.
+SHARD_NUMBERS, SHARDS = 8_000_000, 8
 #: Links of a node on upper levels (twice as many on the lowest), beam while building, first beam of an audit.
 LINKS, BUILD_BEAM, FIRST_BEAM = 16, 48, 32
 #: Audit: so many turned vectors a shard, and the share of their true links that must be found.
 AUDITED, AUDIT_SHARE = 256, 0.995
 #: Shards that a task searches for one shard of queries.
-SHARDS_A_TASK = 4
+SHARDS_A_TASK = 2
 #: Beam entries expanded in a step; numbers held by a step of a search; error of single precision.
 _STEP, _HELD, _LOOSE = 4, 8_000_000, 1e-5
 
@@ -363,9 +365,10 @@ def _searched(folder: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
             yield pa.RecordBatch.from_arrays([pa.array(uids[some]), pa.nulls(len(some), pa.int64()), pa.array(total[some])], ["a", "b", "links"])
 
 
-def indexed(nodes: DataFrame, folder: str, near: float = NEAR, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def indexed(nodes: DataFrame, folder: str, near: float = NEAR, shards: int = SHARDS, shard_numbers: int = SHARD_NUMBERS) -> DataFrame:
     """One audited graph a shard over ``uid``, ``v``, ``copies``: where it lies, its beam and its recall."""
-    shards = max(1, -(-nodes.count() // shard_rows))
+    numbers = nodes.agg(F.sum(F.size("v"))).first()[0] or 0
+    shards = max(shards, -(-numbers // shard_numbers))
     dealt = nodes.select("uid", "v", "copies", F.size("v").alias("dim"), F.pmod(F.xxhash64("uid"), F.lit(shards)).alias("shard"))
     schema = "dim int, shard bigint, name string, beam bigint, recall double, nodes bigint"
 
@@ -376,7 +379,12 @@ def indexed(nodes: DataFrame, folder: str, near: float = NEAR, shard_rows: int =
 
 
 def near_vectors(
-    vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", near: float = NEAR, shard_rows: int = SHARD_ROWS
+    vectors: DataFrame,
+    vec_id: str = "vec_id",
+    embedding: str = "embedding",
+    near: float = NEAR,
+    shards: int = SHARDS,
+    shard_numbers: int = SHARD_NUMBERS,
 ) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id``, ``kept``: one row per row.
 
@@ -397,11 +405,11 @@ def near_vectors(
     nodes = staged(held.withColumn("uid", F.monotonically_increasing_id()), "nodes")
 
     folder = new_path(spark, "graphs")
-    shards = indexed(nodes, folder, near, shard_rows)
-    count = max(1, shards.agg(F.max("shard")).first()[0] or 0) + 1
-    groups = shards.groupBy("dim", F.floor(F.col("shard") / SHARDS_A_TASK).alias("group")).agg(F.sort_array(F.collect_list("name")).alias("names"))
+    graphs = indexed(nodes, folder, near, shards, shard_numbers)
+    count = (graphs.agg(F.max("shard")).first()[0] or 0) + 1
+    groups = graphs.groupBy("dim", F.floor(F.col("shard") / SHARDS_A_TASK).alias("group")).agg(F.sort_array(F.collect_list("name")).alias("names"))
     asked = groups.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(count - 1)).cast("array<bigint>")))
-    work = asked.join(shards.select("dim", "shard", F.col("name").alias("asking")), ["dim", "shard"]).select("asking", "names")
+    work = asked.join(graphs.select("dim", "shard", F.col("name").alias("asking")), ["dim", "shard"]).select("asking", "names")
     work = staged(work, "work")
     tasks = parts_for(spark, 32.0 * min(work.count(), 10_000))
     found = staged(work.repartition(tasks).mapInArrow(partial(_searched, folder), "a bigint, b bigint, links bigint"), "found")

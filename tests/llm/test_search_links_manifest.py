@@ -251,10 +251,10 @@ def crowd():
     return [(i, v.tolist()) for i, v in zip(ids, made, strict=True)]
 
 
-@pytest.mark.parametrize("shard_rows", [4096, 150])
-def test_links_of_a_crowd(spark, crowd, shard_rows):
+@pytest.mark.parametrize(("shards", "shard_numbers"), [(1, 10**6), (3, 24 * 150)])
+def test_links_of_a_crowd(spark, crowd, shards, shard_numbers):
     frame = spark.createDataFrame([(*r, "x") for r in crowd], "vec_id bigint, embedding array<double>, uid string")
-    assert _sorted(hnsw.near_vectors(frame, shard_rows=shard_rows).collect()) == _sorted(_links(crowd))
+    assert _sorted(hnsw.near_vectors(frame, shards=shards, shard_numbers=shard_numbers).collect()) == _sorted(_links(crowd))
 
 
 def test_links_of_messy_rows(spark):
