@@ -48,7 +48,10 @@ TEXT_RULES = (
 
 def working_folder(spark: SparkSession) -> str:
     """The session's shared folder; a session without one, on one machine, gets a folder of the checks."""
-    return spark.conf.get("spark.checkpoint.dir", "") or f"/tmp/haulmetry-checks/{spark.sparkContext.applicationId}"
+    folder = spark.conf.get("spark.checkpoint.dir", "")
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+    return folder or f"/tmp/haulmetry-checks/{spark.sparkContext.applicationId}"
 
 
 class Queries:
@@ -225,10 +228,8 @@ class Queries:
     # Cancellations
 
     def cancel_reason(self) -> DataFrame:
-        remark = F.col("remarks")
-        return self.t["consignment_states"].select(
-            "consignment_code", "time", "remarks", cancellations.cancel_reason(remark).alias("placed_cancel_reason")
-        )
+        charged = cancellations.charged(self.t["consignment_states"])
+        return charged.select("consignment_code", "time", "remarks", "placed_cancel_reason")
 
     def cancel_reason_documents(self) -> DataFrame:
         owner = cancellations.cancel_reason(F.col("text"), TEXT_RULES)

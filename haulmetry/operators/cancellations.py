@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulmetry.functions.clock import boundary_diff, calendar_labels, local_from_epoch, to_local
+from haulmetry.functions.codes import owner_of_first, with_owner
 from haulmetry.functions.rows import dealt_in_order, fanout_left_join, ordinal_within
 from haulmetry.operators.exclusions import (
     CANCELLATION_TEST_NAMES,
@@ -130,10 +130,12 @@ REPORT_COLUMNS = (
 
 def cancel_reason(remark: Column, rules: Sequence[tuple[str, str]] = CANCEL_RULES) -> Column:
     """Party charged with a cancellation: owner of the first code found in the remark, or NULL."""
-    lowered = F.lower(remark)
-    # A search for the code finds what the pattern %code% matches, several times faster.
-    searches = [("(?s)" + ".".join(map(re.escape, code.lower().split("_"))), owner) for code, owner in rules]
-    return F.coalesce(*[F.when(lowered.rlike(search), F.lit(owner)) for search, owner in searches])
+    return owner_of_first(remark, rules)
+
+
+def charged(states: DataFrame, rules: Sequence[tuple[str, str]] = CANCEL_RULES) -> DataFrame:
+    """State rows with the party that each one's remark charges; equal remarks are read once."""
+    return with_owner(states, "remarks", rules, "placed_cancel_reason")
 
 
 def cancellation_rows(
@@ -165,9 +167,9 @@ def cancellation_rows(
     placements = consignments.where(placed >= F.lit(since).cast("timestamp_ntz")).select(
         "code", "demand_id", "operator_code", placed.alias("placement_time"), F.col("state").alias("consignment_state")
     )
-    cancels = states.where((F.col("state") == CANCELLED) & (F.col("deleted") == "false")).select(
+    cancels = charged(states.where((F.col("state") == CANCELLED) & (F.col("deleted") == "false")), rules).select(
         F.col("consignment_code").alias("code"),
-        cancel_reason(F.col("remarks"), rules).alias("placed_cancel_reason"),
+        "placed_cancel_reason",
         F.col("remarks").alias("cancel_remarks"),
         local_from_epoch(F.col("time")).alias("cancel_time"),
         F.col("updated_by").alias("cancelled_by"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulmetry.functions.clock import epoch_boundary_diff, local_from_epoch
-from haulmetry.functions.rows import pick_last
+from haulmetry.functions.rows import latest_number
 from haulmetry.functions.text import json_document, json_field, number
 
 # Trip states, bucket names and limits, assumed daily distances, report start.
@@ -35,10 +35,10 @@ def state_epochs(states: DataFrame, wanted: Iterable[str] = STATES, deleted: Col
     wanted = tuple(wanted)
     live = F.col("deleted") == "false" if deleted is None else deleted
     kept = states.where(live & F.col("state").isin(*wanted))
-    picked = kept.groupBy(F.col("consignment_code").alias("code")).agg(
-        *[pick_last(F.col("updated"), "time", when=F.col("state") == s).alias(s) for s in wanted]
+    updated, time = F.col("updated"), F.col("time")
+    return kept.groupBy(F.col("consignment_code").alias("code")).agg(
+        *[latest_number(updated, time, when=F.col("state") == s).alias(f"{s.lower()}_epoch") for s in wanted]
     )
-    return picked.select("code", *[F.col(f"{s}.time").alias(f"{s.lower()}_epoch") for s in wanted])
 
 
 def state_milestones(states: DataFrame, wanted: Iterable[str] = STATES) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from haulmetry.functions.clock import boundary_diff, local_from_epoch, to_local
 from haulmetry.functions.ratio import percent
-from haulmetry.functions.rows import earliest_per_key, latest_per_key
+from haulmetry.functions.rows import earliest_per_key, latest_time
 from haulmetry.functions.text import json_document, json_field, number
 from haulmetry.operators.exclusions import (
     TEST_NAMES,
@@ -150,11 +150,9 @@ def advance_latency_daily(trips: DataFrame, transactions: DataFrame, balance: Da
         & (F.col("category") == "DEBIT")
         & (F.col("deleted") == "false")
     )
-    latest = latest_per_key(advances, ["consignment_id"], "updated", ["updated", "created", "amount"]).select(
-        F.col("consignment_id").alias("trip_number"),
-        to_local(F.col("created")).alias("raise_time"),
-        to_local(F.col("updated")).alias("pay_time"),
-        "amount",
+    # The day's counts need the time of the latest advance only: one row per trip, whatever its amount.
+    latest = advances.groupBy(F.col("consignment_id").alias("trip_number")).agg(
+        to_local(latest_time(F.col("updated"))).alias("pay_time")
     )
     minutes = boundary_diff("minute", F.col("trip_start_time"), F.col("pay_time"))
     rows = (
@@ -168,9 +166,7 @@ def advance_latency_daily(trips: DataFrame, transactions: DataFrame, balance: Da
         "code",
         "demand_id",
         "unloading_done_time",
-        "raise_time",
         "pay_time",
-        "amount",
         "time_diff",
         "time_dispose",
         "trip_bal",
@@ -184,12 +180,7 @@ def balance_latency_daily(trips: DataFrame, bank_payments: DataFrame, balance: D
     Only trips whose proof of delivery is verified and valid count.
     """
     settled = bank_payments.where((F.col("opsremarks") == "BALANCE") & (F.col("status") == "SUCCESS"))
-    latest = latest_per_key(settled, ["code"], "actpaidtime", ["actpaidtime", "created", "amount"]).select(
-        "code",
-        to_local(F.col("created")).alias("raise_time"),
-        to_local(F.col("actpaidtime")).alias("pay_time"),
-        "amount",
-    )
+    latest = settled.groupBy("code").agg(to_local(latest_time(F.col("actpaidtime"))).alias("pay_time"))
     proof = json_document(F.col("offline_metadata"), "podStatus string, podValidity string, podCollectedDate string")
     collected = number(json_field(F.col("proof"), "podCollectedDate"))
     proven = (
@@ -218,9 +209,7 @@ def balance_latency_daily(trips: DataFrame, bank_payments: DataFrame, balance: D
         "code",
         "demand_id",
         "unloading_done_time",
-        "raise_time",
         "pay_time",
-        "amount",
         "pod_status",
         "pod_entry_time",
         "time_diff",
