@@ -25,6 +25,7 @@ from haulmetry.operators.cancellations import CANCEL_RULES
 from haulmetry.operators.event_issues import MANDATORY, SUMMARY_LEFT_OUT, SUMMARY_OPTIONAL
 from haulmetry.operators.event_quality import DEFINED_ACTIONS, EXCLUDED_EVENTS, MEASURES, SIGNATURE_ACTIONS
 from haulmetry.operators.growth import CALL_DISPOSITIONS
+from haulmetry.sources.sinks import ORDERED_BY
 
 COUNTERS = [m[0] for m in MEASURES]
 NOW = f"timestamp '{AS_OF:%Y-%m-%d %H:%M:%S}'"
@@ -685,7 +686,29 @@ def _outputs() -> dict[str, str]:
         for (section, table, period), metrics in tables.items()
         for m in metrics
     ]
+    outputs = {
+        "dmg_raw": "damage_daily",
+        "tickets": "tickets_fact",
+        "trip_end_raw": "trip_enriched",
+        "can_raw": "cancellation_report",
+        "sub_raw": "subscriptions_cumulative",
+        "fo_tkts": "trip_ticket_ratio_daily",
+        "avg_quotes": "quotes_per_operator_daily",
+        "acq_pod_dod": "acquisition_funnel_daily",
+        "acq_pod_wow": "acquisition_funnel_weekly",
+        "acq_pod_mom": "acquisition_funnel_monthly",
+        "Call_fo": "calls_per_trip_daily",
+        "advance_op_payment": "advance_latency_daily",
+        "bal_op_payment": "balance_latency_daily",
+    }
+    published = [
+        f"select '{output}' as output, count(*) as n_rows, max(cast({ORDERED_BY[output]} as date)) as newest, {NOW} as refreshed_at from {table}"
+        for output, table in outputs.items()
+    ]
     return {
+        "event_quality_counts_by_day": "select * from event_quality_counts",
+        "event_quality_counts_streamed": "select * from event_quality_counts",
+        "published_outputs": " union all ".join(published),
         "publish_stamped": f"select *, {NOW} as refreshed_at from quotes_per_operator_daily",
         "kpi_long": " union all ".join(rows),
     }

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,15 +25,27 @@ from haulmetry.functions.clock import calendar_labels
 from haulmetry.operators import app_versions as versions
 from haulmetry.operators import cancellations, damage, event_issues, event_quality, exclusions, gps, growth
 from haulmetry.operators import kpi, milestones, payments, requests, tickets, trips
-from haulmetry.plans import event_audit
+from haulmetry.plans import daily_counts, dashboard, event_audit
 from haulmetry.session import tune
 from haulmetry.sources.readers import read_app_events
-from haulmetry.sources.sinks import export_csv, publish
+from haulmetry.sources.schemas import SCHEMAS
+from haulmetry.sources.sinks import ORDERED_BY, export_csv, publish, read_published
 from haulmetry.sources.stage import Stage
+from haulmetry.streaming import event_counts
 
 FIRST_DAY, LAST_DAY = "20240101", "20240131"
 AS_OF = dt.datetime(2024, 2, 10, 9, 30)
 SOURCES = (*tickets.APP_SOURCES, PORTAL)
+DASHBOARD = dashboard.DashboardSettings(
+    as_of=AS_OF,
+    partial_patterns=PARTIAL_PATTERNS,
+    payment_partial_patterns=PAYMENT_PARTIAL_PATTERNS,
+    portal_source=PORTAL,
+    trip_ticket_source=TRIP_TICKETS,
+    damage_assignee=DAMAGE_ASSIGNEE,
+    ticket_link_base=LINK_BASE,
+    excluded_customers=EXCLUDED_CUSTOMERS,
+)
 FLAGS = ("overall", *[f"app_latest_{n}" for n in range(10)])
 # Words of the document texts, charged as cancellation codes are.
 TEXT_RULES = (
@@ -70,6 +82,23 @@ class Queries:
     def event_quality_counts(self) -> DataFrame:
         return event_quality.event_quality_counts(self.event_param_flatten())
 
+    def event_quality_counts_by_day(self) -> DataFrame:
+        """Two overlapping windows counted into kept days, one after the other."""
+        path = f"{self._folder}/days-{uuid.uuid4().hex}"
+        for start, end in ((FIRST_DAY, "20240118"), ("20240115", LAST_DAY)):
+            daily_counts.refresh_days(self.t["app_events"], [APP_ID], start, end, path)
+        return daily_counts.read_days(self._spark, path, FIRST_DAY, LAST_DAY)
+
+    def event_quality_counts_streamed(self) -> DataFrame:
+        """The same counters from a stream over the events, written as files, a few files a batch."""
+        log, path, progress = (f"{self._folder}/{name}-{uuid.uuid4().hex}" for name in ("files", "streamed", "progress"))
+        self.t["app_events"].repartition(8).write.parquet(log)
+        events = event_counts.read_event_stream(self._spark, log, files_per_batch=4)
+        # All files hold all days, so the whole window may be late.
+        query = event_counts.start_counting(events, [APP_ID], FIRST_DAY, LAST_DAY, path, progress, lateness="62 days")
+        query.awaitTermination()
+        return daily_counts.read_days(self._spark, path, FIRST_DAY, LAST_DAY)
+
     def app_version_rank(self) -> DataFrame:
         return versions.app_version_rank(self.event_quality_counts())
 
@@ -292,6 +321,23 @@ class Queries:
         root = f"{self._folder}/published-{uuid.uuid4().hex}"
         return self._spark.read.parquet(publish(self.quotes_per_operator_daily(), root, "avg_quotes", AS_OF))
 
+    def published_outputs(self) -> DataFrame:
+        """The whole dashboard from co-located tables, published in one commit: rows and newest entry of each output."""
+        root = f"{self._folder}/dashboard-{uuid.uuid4().hex}"
+        tables = {name: self.t[name] for name in SCHEMAS if name not in ("app_events", "release_events")}
+        outputs = dashboard.dashboard_outputs(dashboard.colocated(tables, self._stage), DASHBOARD, self._stage)
+        dashboard.publish_dashboard(outputs, root, AS_OF)
+        found = [
+            read_published(self._spark, root, name).agg(
+                F.lit(name).alias("output"),
+                F.count("*").alias("n_rows"),
+                F.max(F.col(ORDERED_BY[name]).cast("date")).alias("newest"),
+                F.max("refreshed_at").alias("refreshed_at"),
+            )
+            for name in outputs
+        ]
+        return reduce(DataFrame.unionByName, found)
+
     def kpi_long(self) -> DataFrame:
         return kpi.kpi_long(
             [

@@ -171,3 +171,16 @@ def fanout_left_join(
 def without_matches(df: DataFrame, others: DataFrame, on: Sequence[str]) -> DataFrame:
     """Anti join; the other side is reduced to its distinct keys first."""
     return df.join(others.select(*on).distinct(), list(on), "left_anti")
+
+
+def rows_of_listed(df: DataFrame, column: str, values: DataFrame, most: int = 1_000) -> DataFrame:
+    """Rows whose ``column`` is among those of ``values``, by a list that reaches the scan.
+
+    A list of at most ``most`` different values becomes part of the query, so Parquet skips row groups
+    and a database sends only these rows; ``values`` is read for it at once. A longer one is joined.
+    """
+    different = values.select(column).where(F.col(column).isNotNull()).distinct()
+    found = different.limit(most + 1).agg(F.sort_array(F.collect_set(column))).first()[0]
+    if len(found) > most:
+        return df.join(different, column, "left_semi")
+    return df.where(F.col(column).isin(*found) if found else F.lit(False))

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from haulmetry.functions.rows import rows_of_listed
 from haulmetry.functions.text import version_key
 
 # The debug build left out, the audited platform, and the size of the version list.
@@ -90,10 +91,13 @@ def app_version_rank(
 
 
 def release_date_first_seen(history: DataFrame, current: DataFrame, versions: DataFrame) -> DataFrame:
-    """First event date of each listed version over both tables, with a display label."""
+    """First event date of each listed version over both tables, with a display label.
+
+    ``versions``, a dozen at most, is read at once, so that its list is part of both scans: pass it staged.
+    """
     seen = history.select("app_version", "event_date").unionByName(current.select("app_version", "event_date"))
     first = (
-        seen.join(versions.select("app_version"), "app_version", "left_semi")
+        rows_of_listed(seen, "app_version", versions)
         .groupBy("app_version")
         .agg(F.min(F.to_date("event_date")).alias("release_date"))
     )

@@ -158,10 +158,10 @@ def _checks() -> dict[str, Column]:
     return checks
 
 
-def event_quality_counts(flat: DataFrame) -> DataFrame:
+def event_quality_counts(flat: DataFrame, *more_keys: str) -> DataFrame:
     """Rows and quality counters per day, product, platform, version and event spelling."""
     checks = _checks()
-    return flat.groupBy(*GROUP_KEYS).agg(
+    return flat.groupBy(*more_keys, *GROUP_KEYS).agg(
         F.count(F.lit(1)).alias("total_rows"),
         *[F.count_if(checks[name]).alias(name) for name in (*COUNTERS, "op_id_fill")],
     )

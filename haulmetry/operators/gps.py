@@ -27,25 +27,59 @@ def _hours_inside(start: str, end: str) -> Column:
     return F.sum(F.when(inside, hours).otherwise(F.lit(0).cast("bigint")))
 
 
+#: A span is listed under the cells of one width only, the first of which it fills fewer than so many;
+#: each width is that many times the one before. At most 17 cells a span, and 12 widths for any epoch.
+_FAN, _WIDTHS = 16, 12
+
+
+def _widths(slot_seconds: int) -> list[int]:
+    return [w for w in (slot_seconds * _FAN**k for k in range(_WIDTHS)) if w < 2**62]
+
+
+def _cell(seconds: Column, width: Column) -> Column:
+    """Number of the cell that holds a time; cells are counted from the epoch."""
+    down = F.floor(seconds / width)
+    # Dividing goes through doubles: set right what rounding did to the largest epochs.
+    exact = (seconds - F.pmod(seconds, width)) / width
+    return F.when(F.abs(seconds) < 2**52, down).otherwise(exact).cast("bigint")
+
+
+def fitting_width(first: Column, last: Column, slot_seconds: int) -> Column:
+    """Number of the cell width that fits a span's length."""
+    length = last.cast("double") - first.cast("double")
+    edges = F.array(*[F.lit(float(w * _FAN)) for w in _widths(slot_seconds)[:-1]])
+    return F.size(F.filter(edges, lambda w: w <= length))
+
+
 def offline_hours(spans: DataFrame, intervals: DataFrame, slot_seconds: int = 86_400) -> DataFrame:
     """Offline hours per trip and segment.
 
-    The join is on vehicle and time slot: a trip is listed under every slot it spans, an
-    interval only under the slot it starts in. Each pair therefore meets at most once, and a
-    vehicle with a large share of the intervals is spread over its slots.
+    Containment goes by an index of cells of growing width, a day at first: a trip is listed under the
+    cells of the one width that fits its length, so one that seems to last for decades costs no more
+    rows than one of days. An interval is listed under the cell it starts in, once for each width that
+    its vehicle's trips use, which is nearly always the first alone. Each pair meets at most once, and
+    a vehicle with a large share of the intervals is spread over its cells.
     """
-    slot = F.lit(slot_seconds)
-
-    def slot_of(seconds: Column) -> Column:
-        return ((seconds - F.pmod(seconds, slot)) / slot).cast("bigint")
-
     # least and greatest skip NULL: a span covers whatever milestones are known.
     first, last = F.least(*_TIMES), F.greatest(*_TIMES)
-    slotted = spans.where(last.isNotNull()).withColumn("slot", F.explode(F.sequence(slot_of(first), slot_of(last))))
-    started = intervals.where(F.col("to_time").isNotNull()).select(
-        "vehicle_id", "from_time", "to_time", slot_of(F.col("from_time")).alias("slot")
+    sized = spans.where(last.isNotNull()).withColumn("width", fitting_width(first, last, slot_seconds))
+    widths = F.array(*[F.lit(w).cast("bigint") for w in _widths(slot_seconds)])
+    width = F.get(widths, F.col("width"))
+    listed = sized.withColumn("cell", F.explode(F.sequence(_cell(first, width), _cell(last, width))))
+    # No filter before the aggregate and no fewer columns: both readings of the trips share their exchanges.
+    is_long = F.col("code").isNotNull() & (F.col("width") > 0)
+    long = sized.groupBy("vehicle_id").agg(F.collect_set(F.when(is_long, F.col("width"))).alias("wide"))
+    long = long.where(F.size("wide") > 0)
+    used = F.concat(F.array(F.lit(0)), F.coalesce("wide", F.array().cast("array<int>")))
+    started = (
+        intervals.where(F.col("to_time").isNotNull() & F.col("from_time").isNotNull())
+        .select("vehicle_id", "from_time", "to_time")
+        .join(long, "vehicle_id", "left")
+        .withColumn("width", F.explode(used))
+        .withColumn("cell", _cell(F.col("from_time"), width))
+        .drop("wide")
     )
-    met = slotted.join(started, ["vehicle_id", "slot"], "inner").where(F.col("from_time").between(first, last))
+    met = listed.join(started, ["vehicle_id", "width", "cell"], "inner").where(F.col("from_time").between(first, last))
     return met.groupBy("code").agg(*[_hours_inside(a, b).alias(name) for name, a, b in _SEGMENTS])
 
 

@@ -26,7 +26,7 @@ from haulmetry.operators.payments import (
 )
 from haulmetry.operators.tickets import APP_SOURCES, tickets_fact, tickets_per_trip, trip_ticket_ratio_daily
 from haulmetry.operators.trips import trip_end_fact, trip_enriched
-from haulmetry.sources.sinks import publish
+from haulmetry.sources.sinks import publish_together
 from haulmetry.sources.stage import Stage
 
 
@@ -48,10 +48,36 @@ class DashboardSettings:
         return (*APP_SOURCES, self.portal_source)
 
 
+# The key by which most outputs join a source table: these tables are large and read by several outputs.
+BUCKET_KEYS = {
+    "consignment_states": "consignment_code",
+    "consignments": "code",
+    "demands": "id",
+    "demand_comments": "demand_id",
+    "trip_reports": "demand_id",
+    "ticket_field_values": "ticket_id",
+    "tickets": "id",
+}
+
+
+def colocated(t: Mapping[str, DataFrame], stage: Stage, buckets: int | None = None) -> dict[str, DataFrame]:
+    """The source tables, those of ``BUCKET_KEYS`` written once in as many buckets by their key.
+
+    The state log, which four outputs fold by trip, and the tables it meets are then shuffled once for
+    the whole run instead of once for each output.
+    """
+    tables = dict(t)
+    for name, key in BUCKET_KEYS.items():
+        if name in tables:
+            count = buckets or int(tables[name].sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            tables[name] = stage.keep_bucketed(tables[name], key, count)
+    return tables
+
+
 def dashboard_outputs(t: Mapping[str, DataFrame], s: DashboardSettings, stage: Stage) -> dict[str, DataFrame]:
     """All outputs by name. Tables that feed several outputs are staged while the plans are built.
 
-    Clear ``stage`` once the outputs are written.
+    Pass the tables through ``colocated`` first, and clear ``stage`` once the outputs are written.
     """
     tickets = tickets_fact(
         t["tickets"],
@@ -150,5 +176,5 @@ def dashboard_outputs(t: Mapping[str, DataFrame], s: DashboardSettings, stage: S
 
 
 def publish_dashboard(outputs: Mapping[str, DataFrame], root: str, refreshed_at: dt.datetime) -> dict[str, str]:
-    """Write every output, stamped with the run time; returns their paths."""
-    return {name: publish(df, root, name, refreshed_at) for name, df in outputs.items()}
+    """Publish every output, ordered and stamped with the run time, in one commit; returns their paths."""
+    return publish_together(outputs, root, refreshed_at)
