@@ -20,6 +20,7 @@ which the ids before each shard follow.
 
 from __future__ import annotations
 
+import operator
 import re
 import struct
 import zlib
@@ -38,6 +39,8 @@ from haulmetry.llm.common import file_system, new_path, parts_for, slices, stage
 MAGIC = b"TOKENEF1"
 HEADER = struct.Struct("<8sQQQQ")
 SAMPLE = 256
+#: Documents whose boundaries a reader decodes at a time.
+RANGE = 1024
 END_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
 #: Megabytes of text a shard holds, as a goal.
@@ -73,6 +76,9 @@ class Recent(dict):
         return value
 
 
+_id = operator.attrgetter("id")
+
+
 class Encoder:
     """Ids of whole texts, as bytes. Pieces that occur again are looked up, not encoded again."""
 
@@ -88,19 +94,33 @@ class Encoder:
         # In Latin texts the vocabulary's own pattern cuts a word, and a table writes its bytes as letters.
         self.split = regex.compile(public_tokenizers.PATTERN).findall
         self.letters = {c: self.cut(chr(c))[0][0] for c in range(ord(_BEYOND))}
+        # A word of ASCII is cut by the same pattern, spelt for ASCII: it has no white space inside.
+        self.cut_ascii = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[A-Za-z]+| ?[0-9]+| ?[^A-Za-z0-9\s]+").findall
+        self.blank, self.marks = self.letters[32], {t[0] for t in self.special}
         self.words = Recent(self._word, half)
         self.pieces = Recent(self._piece, half)
 
     def _ids(self, letters: str) -> bytes:
-        return array(self.kind, [t.id for t in self.model.tokenize(letters)]).tobytes()
+        return array(self.kind, map(_id, self.model.tokenize(letters))).tobytes()
 
     def _piece(self, piece: str) -> bytes:
         return self._ids(piece.translate(self.letters))
 
     def _word(self, word: str) -> bytes:
-        if any(s in word for s in self.special):
+        if not self.marks.isdisjoint(word) and any(t in word for t in self.special):
             return array(self.kind, self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        if word.isascii():
+            bare = word[1:] if word[0] == " " else word
+            if bare.isalpha():  # one piece, whose letters stand for themselves
+                return self._ids(word if bare is word else self.blank + bare)
+            if bare and bare[-1] != " " and bare.isprintable():  # not white space alone
+                return b"".join([self.pieces[p] for p in self.cut_ascii(word)])
+        return self._mixed(word)
+
+    def _mixed(self, word: str) -> bytes:
         if max(word) < _BEYOND:
+            if (word[1:] if word[0] == " " else word).isalpha():
+                return self._piece(word)
             return b"".join([self.pieces[p] for p in self.split(word)])
         return b"".join([self._ids(p) for p, _ in self.cut(word)])
 
@@ -170,15 +190,25 @@ class Boundaries:
         part = int.from_bytes(self.lows[at >> 3 : (at + self.low + 7) >> 3].tobytes(), "little") >> (at & 7)
         return (self.select(k) - k << self.low) | (part & ((1 << self.low) - 1))
 
-    def all(self) -> np.ndarray:
-        """Every boundary, decoded at once."""
-        places = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]
-        high = (places - np.arange(self.n)) << self.low
+    def span(self, first: int, end: int) -> np.ndarray:
+        """Boundaries ``first`` up to, not including, ``end``: two selects, and the bits between them."""
+        if first >= end:
+            return np.zeros(0, np.int64)
+        begin, last = self.select(first), self.select(end - 1)
+        places = np.flatnonzero(np.unpackbits(self.high[begin >> 3 : (last >> 3) + 1], bitorder="little")) + (begin >> 3 << 3)
+        places = places[(places >= begin) & (places <= last)]
+        high = (places - np.arange(first, end)) << self.low
         if not self.low:
             return high
-        bits = np.unpackbits(self.lows, bitorder="little")[: self.n * self.low].reshape(self.n, self.low)
+        at = first * self.low
+        bits = np.unpackbits(self.lows[at >> 3 : (end * self.low + 7) >> 3], bitorder="little")[at & 7 :]
+        bits = bits[: (end - first) * self.low].reshape(end - first, self.low)
         return high + bits.astype(np.int64) @ (1 << np.arange(self.low, dtype=np.int64))
 
+    def all(self) -> np.ndarray:
+        """Every boundary, decoded at once."""
+        return self.span(0, self.n)
+
 
 # Files
 
@@ -205,10 +235,11 @@ class Shard:
 
     def documents(self) -> Iterator[tuple[int, np.ndarray]]:
         """First id's number and the ids of each document, read in order."""
-        bounds = self.bounds.all()
         self.file.seek(HEADER.size)
-        for start, n in zip(bounds[:-1].tolist(), np.diff(bounds).tolist(), strict=True):
-            yield start, np.frombuffer(self.file.read(n * self.width), f"<u{self.width}").astype("<u4")
+        for at in range(0, self.n, RANGE):
+            bounds = self.bounds.span(at, min(at + RANGE, self.n) + 1)
+            for start, n in zip(bounds[:-1].tolist(), np.diff(bounds).tolist(), strict=True):
+                yield start, np.frombuffer(self.file.read(n * self.width), f"<u{self.width}").astype("<u4")
 
 
 def _written(folder: str, vocabulary: str, width: int, end_id: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

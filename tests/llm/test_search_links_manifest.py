@@ -8,13 +8,15 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
+import tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from haulmetry.llm import hnsw, lexical, merkle
+from haulmetry.llm import hnsw, lexical, merkle, tokenfile
 
 #: Names that the operators use inside; the input may have them too.
 CLASHES = "g lo n digest _key _row _part block level own steps uid v key copies least dim shard root item term terms counts rank score _g _p _c".split()
@@ -288,3 +290,27 @@ def test_audit_widens_a_beam_that_misses():
     graph.beam = 1
     graph.audit()
     assert graph.beam > 16 and graph.recall >= hnsw.AUDIT_SHARE
+
+
+# Token files: boundaries by ranges, and words cut as ASCII
+
+
+def test_spans_of_boundaries_are_those_of_select():
+    rng = random.Random(5)
+    for n in (1, 2, 255, 257, 3000):
+        for most in (1, 3, 700, 10**6):
+            ends = np.cumsum([0, *(rng.randrange(most) + 1 for _ in range(n - 1))])
+            low, lows, high, samples = tokenfile.encode_boundaries(ends)
+            held = tokenfile.Boundaries(n, low, lows + high + samples)
+            for _ in range(20):
+                a = rng.randrange(n)
+                b = rng.randint(a, n)
+                assert held.span(a, b).tolist() == ends[a:b].tolist() == [held[k] for k in range(a, b)]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="aZ09 \t\n.,'s<|>_-\x00\x1c\x7f\xa0é²ªǅ日 ", max_size=30))
+def test_words_are_encoded_as_in_their_text(text):
+    whole = tokenizers.Tokenizer.from_file(public_tokenizers.path(tokenfile.VOCABULARY))
+    made = tokenfile.encoder(public_tokenizers.path(tokenfile.VOCABULARY), 2)
+    assert np.frombuffer(made.encode([text])[0], "<u2").tolist() == whole.encode(text, add_special_tokens=False).ids
