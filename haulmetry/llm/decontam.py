@@ -10,8 +10,9 @@ some block differs in at most ``RADIUS // BLOCKS`` bits. A table per block lists
 value within that distance, so looking up a window's blocks finds all items within the radius, and
 nothing has to be compared with all. Every candidate is then verified exactly.
 
-A window without a shingle of any item has similarity 0 with all of them, so windows are only
-fingerprinted where they hold a shingle of an item of their size. That skips most texts and loses nothing.
+A window without a shingle of an item has similarity 0 with it. So posting lists lead from the shingles
+that a text shares with items to the pairs of window and item that can match at all; these are looked
+up in the index, and only such windows are fingerprinted. A document shorter than an item is one window.
 
 At similarity 0.8 the expected distance is 10 bits with a deviation of 3, so the radius lies more
 than four deviations above it.
@@ -74,7 +75,7 @@ class Items:
         self.words, self.marks, self.known = {}, {}, {}
         for n in sorted(set(self.sizes)):
             mine = np.flatnonzero(self.size_of == n)
-            self.words[n] = (mine, np.unique(np.concatenate([self.sets[i] for i in mine])), self._tables(mine))
+            self.words[n] = (mine, *self._postings(mine), self._tables(mine))
             # Shingles are of five words, but for items of fewer; texts are cut for each such size as well.
             self.marks.setdefault(min(SHINGLE_SIZE, n), np.zeros(1 << 20, bool))[self.words[n][1] & _LOW] = True
             old = self.known.get(min(SHINGLE_SIZE, n), np.zeros(0, np.uint64))
@@ -93,13 +94,33 @@ class Items:
         values = np.arange(256, dtype=np.uint8)
         return np.stack([_POPCOUNT[values[:, None] ^ self.prints[mine, b][None]] <= near for b in range(BLOCKS)])
 
-    def candidates(self, n: int, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of window and item, of those of ``n`` words, within the radius."""
-        mine, _, tables = self.words[n]
-        found = np.zeros((len(windows), len(mine)), bool)
+    def _postings(self, mine: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct shingles of some items, where each one's list begins, and the items of all lists."""
+        pairs = [(np.unique(self.sets[i]), k) for k, i in enumerate(mine)]
+        shingles = np.concatenate([x for x, _ in pairs])
+        owners = np.repeat([k for _, k in pairs], [len(x) for x, _ in pairs])
+        order = np.lexsort((owners, shingles))
+        known, first = np.unique(shingles[order], return_index=True)
+        return known, np.append(first, len(order)), owners[order]
+
+    def pairs(self, n: int, shingles: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place and item, by its number among those of ``n`` words, of each shared shingle at places ``at``."""
+        _, known, first, owners, _ = self.words[n]
+        spot = np.minimum(np.searchsorted(known, shingles[at]), len(known) - 1)
+        same = known[spot] == shingles[at]
+        at, spot = at[same], spot[same]
+        many = first[spot + 1] - first[spot]
+        upto = np.cumsum(many)
+        nth = np.arange(upto[-1] if len(upto) else 0) - np.repeat(upto - many, many)
+        return np.repeat(at, many), owners[np.repeat(first[spot], many) + nth]
+
+    def candidates(self, n: int, windows: np.ndarray, w: np.ndarray, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of pairs of window and item (by its number among those of ``n`` words), those within the radius."""
+        mine, tables = self.words[n][0], self.words[n][-1]
+        found = np.zeros(len(w), bool)
         for b in range(BLOCKS):
-            found |= tables[b][windows[:, b]]
-        w, i = np.nonzero(found)
+            found |= tables[b][windows[w, b], i]
+        w, i = w[found], i[found]
         far = _POPCOUNT[windows[w] ^ self.prints[mine[i]]].sum(axis=1) > RADIUS
         return w[~far], mine[i[~far]]
 
@@ -124,16 +145,19 @@ def matches(text: str, items: Items, least: float = SIMILAR) -> dict[int, tuple[
     hashes = items.hashes.of(words)
     cuts = {size: shingle_hashes(hashes, size) for size in items.marks if size <= len(words)}
     seen = {size: items.seen(shingles, size) for size, shingles in cuts.items()}
-    for n, (_, known, _) in items.words.items():
+    for n in items.words:
         size = min(SHINGLE_SIZE, n)
-        if n > len(words) or not len(seen[size]):
+        if size not in cuts or not len(seen[size]):
             continue
-        shingles, per = cuts[size], n - size + 1
-        held = seen[size][np.isin(shingles[seen[size]], known)]
-        if not len(held):
+        shingles, whole = cuts[size], n - size + 1
+        per = min(whole, len(shingles))
+        if per < least * whole:  # the text is too short for that similarity
+            continue
+        places, owners = items.pairs(n, shingles, seen[size])
+        if not len(places):
             continue
         hit = np.zeros(len(shingles) + 1, np.int64)
-        hit[held + 1] = 1
+        hit[places + 1] = 1
         upto = np.cumsum(hit)
         starts = np.flatnonzero(upto[per:] - upto[:-per] > 0)
         for lo in range(0, len(starts), 4096):  # memory stays the same however long the text is
@@ -142,7 +166,14 @@ def matches(text: str, items: Items, least: float = SIMILAR) -> dict[int, tuple[
             sums = np.cumsum(_planes(shingles[first : part[-1] + per]), axis=0, dtype=np.int32)
             sums = np.concatenate((np.zeros((1, BITS), np.int32), sums))
             windows = _packed(sums[part - first + per] - sums[part - first])
-            for w, i in zip(*items.candidates(n, windows), strict=True):
+            # Each shared shingle pairs its items with the windows around it.
+            some = slice(np.searchsorted(places, first), np.searchsorted(places, part[-1] + per))
+            low = np.maximum(np.searchsorted(part, places[some] - per + 1), 0)
+            many = np.searchsorted(part, places[some], side="right") - low
+            ends = np.cumsum(many)
+            row = np.arange(ends[-1]) + np.repeat(low - (ends - many), many)
+            shared = np.unique(row * len(items.words[n][0]) + np.repeat(owners[some], many))
+            for w, i in zip(*items.candidates(n, windows, *np.divmod(shared, len(items.words[n][0]))), strict=True):
                 s = int(part[w])
                 score = weighted_jaccard(np.sort(shingles[s : s + per]), items.sets[i])
                 item = items.ids[i]
@@ -208,9 +239,34 @@ def contaminated(
     return found
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without those that hold an item; rows without id are kept."""
+def _clean(rows, least: float, column: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    items = Items(rows.value)
+    for batch in batches:
+        held = [bool(t and items.ids and matches(t, items, least)) for part in slices([batch]) for t in part.column(column).to_pylist()]
+        yield batch.filter(pa.array([not h for h in held], pa.bool_()))
+
+
+def decontaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    least: float = SIMILAR,
+) -> DataFrame:
+    """``docs`` without those that hold an item.
+
+    All rows of an id go if one of them holds an item; a row without id goes by its own text. Repeated
+    rows share their verdict, null and empty texts stay, an empty table stays empty.
+    """
     from haulmetry.llm.common import staged
 
-    hits = staged(contaminated(docs, benchmark, doc_id, **options).select("doc_id").distinct(), "leaks")
-    return docs.join(hits.withColumnRenamed("doc_id", "_leak"), docs[doc_id] == F.col("_leak"), "left_anti")
+    hits = contaminated(docs.where(docs[doc_id].isNotNull()), benchmark, doc_id, text, item_id, item_text, least)
+    hits = staged(hits.select(F.col("doc_id").alias("_leak")).distinct(), "leaks")
+    left = docs.where(docs[doc_id].isNotNull()).join(hits, F.col(doc_id) == F.col("_leak"), "left_anti")
+    unnamed = docs.where(docs[doc_id].isNull())
+    for rows in _blocks(benchmark, item_id, item_text):
+        sent = docs.sparkSession.sparkContext.broadcast(rows)
+        unnamed = unnamed.mapInArrow(partial(_clean, sent, least, docs.columns.index(text)), docs.schema)
+    return left.union(unnamed)

@@ -49,19 +49,17 @@ def leaks(docs, items):
     """Pairs of document and item with a window of the item's size at weighted similarity 0.8 or more."""
     found = set()
     for item, text in items:
-        words = len(re.findall(r"[^\W_]+", (text or "").lower()))
         want = Counter(shingles(text))
         for doc, body in docs:
             have = shingles(body)
             if not want or not set(have) & want.keys():
                 continue
-            per = sum(want.values())
-            if len(re.findall(r"[^\W_]+", (body or "").lower())) < words:
-                continue
+            total = sum(want.values())
+            per = min(total, len(have))  # a shorter document is one window
             for k in range(len(have) - per + 1):
                 window = Counter(have[k : k + per])
                 common = sum((window & want).values())
-                if common / (2 * per - common) >= 0.8:
+                if common / (per + total - common) >= 0.8:
                     found.add((doc, item))
                     break
     return found

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from haulmetry.llm import archive, decontam, linedup, maxent, minhash, mixing, quality, secrets, tokenfile, toxicity
@@ -101,6 +102,8 @@ def test_decontamination(messy, empty, items):
     assert rows == {(6, 1), (7, 1), (4, 4)}
     left = decontam.decontaminated(messy, items)
     assert left.columns == messy.columns and left.count() == len(_rows()) - 4
+    unnamed = messy.where("doc_id = 6").withColumn("doc_id", F.lit(None).cast("bigint"))
+    assert decontam.decontaminated(unnamed.union(messy.where("doc_id = 8")), items).count() == 2
     assert decontam.contaminated(empty, items).count() == 0
     assert decontam.contaminated(messy, items.limit(0)).count() == 0
     assert decontam.decontaminated(messy, items.limit(0)).count() == len(_rows())

@@ -123,7 +123,32 @@ def test_multi_index_misses_nothing_within_the_radius():
         for bit in rng.choice(64, rng.integers(0, 40), replace=False):
             row[bit // 8] ^= 1 << (bit % 8)
     apart = np.unpackbits(windows[:, None] ^ held.prints[None], axis=2).sum(axis=2)
-    assert set(zip(*(x.tolist() for x in held.candidates(20, windows)), strict=True)) == set(zip(*(x.tolist() for x in np.nonzero(apart <= decontam.RADIUS)), strict=True))
+    every = (x.ravel() for x in np.indices(apart.shape))
+    assert set(zip(*(x.tolist() for x in held.candidates(20, windows, *every)), strict=True)) == set(zip(*(x.tolist() for x in np.nonzero(apart <= decontam.RADIUS)), strict=True))
+
+
+def test_documents_shorter_than_an_item():
+    words = [f"w{k}" for k in range(40)]
+    texts = [(k, " ".join(words[a:b])) for k, (a, b) in enumerate([(0, 39), (1, 40), (0, 35), (3, 36), (0, 32), (0, 4), (0, 40), (2, 38)])]
+    items = [(1, " ".join(words)), (2, "w0 w1 w2 w3"), (3, "w1 w2")]
+    held = decontam.Items(items)
+    got = {(k, i) for k, t in texts for i in decontam.matches(t, held)}
+    assert {p for p in got if p[1] == 1} == brute.leaks(texts, items[:1]) >= {(0, 1), (1, 1), (6, 1)} and (4, 1) not in got
+    assert (5, 2) in got and (0, 3) in got
+
+
+def test_postings_choose_few_pairs():
+    """Of all pairs of a window and an item of its size, few are looked up."""
+    rng = random.Random(8)
+    common = [f"c{k}" for k in range(60)]
+    items = [(k, " ".join([*(rng.choice(common) for _ in range(6)), *(f"i{k}x{j}" for j in range(24))])) for k in range(200)]
+    held = decontam.Items(items)
+    looked, plain = [], held.candidates
+    held.candidates = lambda n, windows, w, i: (looked.append((len(windows), len(w))), plain(n, windows, w, i))[1]
+    for k, text in items[:40]:
+        body = " ".join([*(rng.choice(common) for _ in range(200)), text, *(rng.choice(common) for _ in range(200))])
+        assert k in decontam.matches(body, held)
+    assert sum(p for _, p in looked) < 0.05 * 200 * sum(w for w, _ in looked)
 
 
 # Token files
