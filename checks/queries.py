@@ -327,6 +327,7 @@ class Queries:
         tables = {name: self.t[name] for name in SCHEMAS if name not in ("app_events", "release_events")}
         outputs = dashboard.dashboard_outputs(dashboard.colocated(tables, self._stage), DASHBOARD, self._stage)
         dashboard.publish_dashboard(outputs, root, AS_OF)
+        self._stage.clear()  # what is published stands on its own
         found = [
             read_published(self._spark, root, name).agg(
                 F.lit(name).alias("output"),
