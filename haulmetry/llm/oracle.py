@@ -44,13 +44,18 @@ from ordered
 """
 
 
-def _fence(ratio: str, least: float) -> str:
-    low, high = (f"list_sort(list({ratio}) filter (where not base_failed))[greatest(1, ceil({p} * count(*) filter (where not base_failed)))::int]" for p in (0.25, 0.75))
-    return f"{low} - 5.0 * greatest({high} - {low}, {least}) as {ratio}_low, {high} + 5.0 * greatest({high} - {low}, {least}) as {ratio}_high"
-
-
-_RATIOS = {"word_length": 0.5, "symbol_ratio": 0.01, "dup_line_ratio": 0.1, "repeat_ratio": 0.1}
-_FENCES = ", ".join(_fence(*x) for x in _RATIOS.items())
+def _fence(ratio: str, least: float, lower: float, upper: float, reach: float) -> str:
+    low, high = (f"list_sort(list({ratio}) filter (where not base_failed))[greatest(1, ceil({p} * count(*) filter (where not base_failed)))::int]" for p in (lower, upper))
+    return f"{low} - {reach} * greatest({high} - {low}, {least}) as {ratio}_low, {high} + {reach} * greatest({high} - {low}, {least}) as {ratio}_high"
+
+
+_RATIOS = {
+    "word_length": (0.5, 0.25, 0.75, 5.0),
+    "symbol_ratio": (0.01, 0.25, 0.75, 5.0),
+    "dup_line_ratio": (0.1, 0.5, 0.95, 1.0),
+    "repeat_ratio": (0.1, 0.5, 0.95, 1.0),
+}
+_FENCES = ", ".join(_fence(r, *x) for r, x in _RATIOS.items())
 _EDGES = [f"{r}_{e}" for r in _RATIOS for e in ("low", "high")]
 _N = "count(*) filter (where not base_failed) as n"
 

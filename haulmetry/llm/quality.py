@@ -15,9 +15,11 @@ from haulmetry.llm.common import staged, text_or_empty, words_of
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
-#: Ratio -> least width that counts as the middle half of a group, so that an even group has a fence too.
+#: Ratio -> least width of its fence, so that an even group has one too.
 SPREADS = {"word_length": 0.5, "symbol_ratio": 0.01, "dup_line_ratio": 0.1, "repeat_ratio": 0.1}
-REACH = 5.0
+#: Ratios -> quantiles whose distance is the width, and how many widths the fence lies outside them. Most
+#: texts repeat nothing, so repetition is judged by its group's upper end, and its lower fence is not met.
+WIDTHS = {("word_length", "symbol_ratio"): (0.25, 0.75, 5.0), ("dup_line_ratio", "repeat_ratio"): (0.5, 0.95, 1.0)}
 MIN_GROUP = 30
 SKETCH_K = 2048
 
@@ -102,14 +104,15 @@ def with_measures(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def fences(measures: DataFrame, reach: float = REACH, min_group: int = MIN_GROUP) -> DataFrame:
+def fences(measures: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     """Lower and upper fence of each ratio, per language and source.
 
     ``measures`` has ``lang``, ``source`` and ``m``; null languages and sources are groups of their
     own. Only documents that pass the base rules are sketched. A group with fewer than ``min_group``
     of them takes the merged sketches of its language, and a language with fewer those of all
     documents. Without any such document there is no fence, and nothing more is rejected.
-    A fence lies ``reach`` times the width of the middle half (or the ratio's least width) outside it.
+    A fence lies so many times the distance of two quantiles (``WIDTHS``), or the ratio's least width,
+    outside them. Null and empty texts fail the base rules; an empty table has no groups and no fences.
     """
     kept = F.when(~F.col("m.base_failed"), True)
     groups = measures.groupBy("lang", "source").agg(
@@ -122,10 +125,11 @@ def fences(measures: DataFrame, reach: float = REACH, min_group: int = MIN_GROUP
 
     def cut(level: DataFrame, name: str, *keys: str) -> DataFrame:
         found = []
-        for r, least in SPREADS.items():
-            low, high = (F.kll_sketch_get_quantile_double(r, F.lit(p)) for p in (0.25, 0.75))
-            width = reach * F.greatest(high - low, F.lit(least))
-            found.append(F.struct((low - width).alias("low"), (high + width).alias("high")).alias(r))
+        for ratios, (*at, reach) in WIDTHS.items():
+            for r in ratios:
+                low, high = (F.kll_sketch_get_quantile_double(r, F.lit(p)) for p in at)
+                width = reach * F.greatest(high - low, F.lit(SPREADS[r]))
+                found.append(F.struct((low - width).alias("low"), (high + width).alias("high")).alias(r))
         return level.select(*keys, F.struct(F.col("n"), *found).alias(name))
 
     own, per_lang = cut(some, "own", "lang", "source"), cut(some.groupBy("lang").agg(*merged), "per_lang", "lang")
@@ -179,7 +183,10 @@ def _grouped(docs: DataFrame, text: str, lang: str, source: str, name: str, slim
 def quality_report(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source"
 ) -> DataFrame:
-    """Measures and verdict of each document, one row per input row, repeated rows included."""
+    """Measures and verdict of each document, one row per input row, repeated rows included.
+
+    Null and empty texts have no words and fail; an empty table gives no rows.
+    """
     measured = _grouped(docs, text, lang, source, "measures", [doc_id])
     return judged(measured, fences(measured)).select(F.col(f"row.{doc_id}").alias(doc_id), "m.*", "broken", "kept")
 

@@ -17,7 +17,7 @@ from conftest import DATA
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from haulmetry.llm import archive, decontam, linedup, maxent, minhash, oracle, secrets, tokenfile, toxicity
+from haulmetry.llm import archive, decontam, linedup, maxent, minhash, oracle, quality, secrets, tokenfile, toxicity
 
 sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
@@ -451,3 +451,22 @@ def test_pipeline_against_plain_versions(spark, duck, docs):
     want = brute.token_rows([x for x in left for _ in range(copies[x[0]])])
     got = sorted(tuple(r[c] for c in ("doc_id", "start", "n_tokens", "ids_crc32")) for r in corpus_pipeline.run(spark, DATA).collect())
     assert got == sorted(want)
+
+
+# Quality fences
+
+
+@pytest.mark.parametrize("ratio", ["repeat_ratio", "dup_line_ratio"])
+def test_repetition_fences_reject(spark, ratio):
+    rng = random.Random(7)
+    line = lambda n: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(n))
+    rows = [(k, "\n".join(line(10) for _ in range(20)), "en", "a") for k in range(40)]
+    if ratio == "repeat_ratio":  # three of ten words stand in a run that comes again, in lines that differ
+        run = line(3)
+        odd = "\n".join(f"{line(7)} {run}" for _ in range(20))
+    else:  # a third of the lines come again; they are too short to repeat many words
+        odd = "\n".join([line(1)] * 5 + [line(10) for _ in range(9)])
+    docs = spark.createDataFrame([*rows, (99, odd, "en", "a")], "doc_id bigint, text string, lang string, source string")
+    got = {r.doc_id: r for r in quality.quality_report(docs).collect()}
+    assert not got[99].base_failed and ratio in got[99].broken and not got[99].kept
+    assert all(got[k].kept for k in range(40))
