@@ -93,10 +93,21 @@ def test_near_duplicates(messy, empty):
     kept = minhash.one_of_each(messy)
     assert kept.columns == messy.columns
     ids = [r.doc_id for r in kept.collect()]
-    assert sorted(i for i in ids if i) == [1, 2, 3, 4, 5, 6, 8, 9] and ids.count(None) == 2
+    assert sorted(i for i in ids if i) == [1, 2, 3, 4, 5, 6, 8, 8, 9] and ids.count(None) == 2
     assert minhash.near_duplicates(empty).count() == minhash.one_of_each(empty).count() == 0
 
 
+def test_near_duplicates_by_text(spark):
+    """Rows without id, and several texts of one id, are told apart by their texts."""
+    one, two, three = (_words(200, 500 + k) for k in range(3))
+    rows = [(None, one), (3, one), (None, one + " end"), (4, two), (4, three), (5, three), (None, _words(50, 600)), (None, _words(50, 600))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = sorted((r.doc_id or 0, r.class_id or 0) for r in minhash.near_duplicates(docs).collect())
+    assert found == [(0, 0), (0, 0), (0, 3), (0, 3), (3, 3), (4, 4), (4, 4), (5, 4)]
+    kept = [(r.doc_id, r.text) for r in minhash.one_of_each(docs).collect()]
+    assert sorted(kept, key=str) == sorted([(3, one), (4, two), (4, three), (None, _words(50, 600))], key=str)
+
+
 def test_decontamination(messy, empty, items):
     rows = {(r.doc_id, r.item_id) for r in decontam.contaminated(messy, items).collect()}
     assert rows == {(6, 1), (7, 1), (4, 4)}

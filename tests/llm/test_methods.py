@@ -94,6 +94,23 @@ def test_chains_and_hot_groups(spark):
     assert all(got[100 + k] == 100 + k for k in range(20))
 
 
+def test_band_dealt_to_groups(spark, monkeypatch):
+    """A band that is open in the last round gives the same classes however finely it is dealt."""
+    rng = random.Random(3)
+    base = [f"w{k}" for k in range(120)]
+    rows = []
+    for k in range(60):  # a family: many pairs near 0.8 on both sides
+        words = list(base)
+        for at in rng.sample(range(120), 3):
+            words[at] = f"x{rng.randrange(40)}"
+        rows.append((k, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    monkeypatch.setattr(minhash, "ROUNDS", 0)
+    whole = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs).collect()}
+    monkeypatch.setattr(minhash, "TOGETHER", 7)
+    assert {r.doc_id: r.class_id for r in minhash.near_duplicates(docs).collect()} == whole == brute.classes(rows)
+
+
 # Decontamination
 
 
