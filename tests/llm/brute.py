@@ -39,7 +39,7 @@ def classes(docs):
         if not x or not y or min(len(x), len(y)) < 0.2 * max(len(x), len(y)) or not x.keys() & y.keys():
             continue
         # The index is no more than the share that the common shingles could have at best.
-        if x == y or (2 * len(x.keys() & y.keys()) > 0.5 * min(len(x), len(y)) and probability_jaccard(x, y) >= 0.8):
+        if x == y or (2 * len(x.keys() & y.keys()) > 0.5 * min(len(x), len(y)) and probability_jaccard(x, y) >= 0.8 - 1e-12):
             p, q = find(a), find(b)
             root[max(p, q)] = min(p, q)
     return {i: find(i) for i in root}
