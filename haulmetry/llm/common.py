@@ -7,6 +7,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -89,6 +90,19 @@ def dropped(df: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Session settings for the jobs that run inside; dots are written as two underscores."""
+    before = {k.replace("__", "."): spark.conf.get(k.replace("__", "."), None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k.replace("__", "."), v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def parts_for(spark: SparkSession, megabytes: float, each: float = 32.0) -> int:
     """Partitions for so many MB, at least as many as the session's shuffles have."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(megabytes / each) + 1)

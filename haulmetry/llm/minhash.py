@@ -29,6 +29,7 @@ from haulmetry.llm.common import (
     WordHashes,
     dropped,
     mix,
+    settings,
     shingle_batch,
     shingle_hashes,
     slices,
@@ -47,6 +48,12 @@ PLANES, PLANE = 4, -(-BANDS * BAND_ROWS // 64)
 FARTHEST = int(BANDS * BAND_ROWS * 0.2 + 5 * (BANDS * BAND_ROWS * 0.2 * 0.8) ** 0.5)
 #: Members of one band, still in different classes, that meet in one task; more are dealt in such groups.
 TOGETHER = 1000
+#: A Bloom filter of the paired rows goes to the scan of the texts, whatever the sizes of both.
+PREFILTER = {
+    "spark__sql__optimizer__runtime__bloomFilter__enabled": "true",
+    "spark__sql__optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold": "0",
+    "spark__sql__optimizer__runtime__bloomFilter__creationSideThreshold": "1t",
+}
 
 
 def weighted_shingles(text: str | None, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
@@ -202,13 +209,16 @@ def verified_pairs(pairs: DataFrame, rows: DataFrame, texts: DataFrame, least: f
     """
     paired = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     ids = staged(rows.join(paired, "node").select(F.col("node").alias("id"), "row"), "paired")
-    sets = staged(
-        texts.join(ids, "row")
-        .select("id", "text")
-        .dropDuplicates(["id"])
-        .mapInArrow(_with_shingles, "id bigint, set binary, weights binary"),
-        "shingles",
-    )
+    # Spark drops most texts that are in no pair by a Bloom filter of at most 8 MB, before they are
+    # shuffled. It makes one only from rows that a condition chose; this one holds for all.
+    with settings(ids.sparkSession, **PREFILTER):
+        sets = staged(
+            texts.join(ids.where("id >= 0"), "row")
+            .select("id", "text")
+            .dropDuplicates(["id"])
+            .mapInArrow(_with_shingles, "id bigint, set binary, weights binary"),
+            "shingles",
+        )
     left, right = (sets.select(F.col("id").alias(n), F.col("set").alias(f"{n}_set"), F.col("weights").alias(f"{n}_weights")) for n in "ab")
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "a_set", "a_weights", "b_set", "b_weights")
     links = staged(both.mapInArrow(partial(_verified, least), "a bigint, b bigint, similarity double"), "links")
@@ -268,12 +278,15 @@ def _classed(docs: DataFrame, doc_id: str, text: str, least: float) -> DataFrame
     known = staged(grouped.withColumn("node", F.monotonically_increasing_id()), "nodes")  # numbers stay, once written
     rows, texts = known.select("node", "row"), source.select("row", "text")
 
-    def sketched(df: DataFrame, node: str, name: str, *more: str) -> DataFrame:
-        return df.join(known.select(F.col("node").alias(node), F.col("sketch").alias(name), *more), node)
-
     band = known.select("node", F.posexplode("bands").alias("nth", "band"))
     shared = band.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("first")).where("n > 1")
     members = staged(band.join(shared, "band").select("nth", "band", "node", "first"), "members")
+    # Most texts share no band; only the sketches of the others are shuffled again.
+    held = staged(known.select("node", "sketch").join(members.select("node").distinct(), "node"), "held")
+
+    def sketched(df: DataFrame, node: str, name: str) -> DataFrame:
+        return df.join(held.select(F.col("node").alias(node), F.col("sketch").alias(name)), node)
+
     stars = members.where("node != first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     pairs = staged(sketched(sketched(stars, "b", "y"), "a", "x").where(_near("x", "y")).select("a", "b"), "pairs")
     links = verified_pairs(pairs, rows, texts, least)
@@ -283,14 +296,13 @@ def _classed(docs: DataFrame, doc_id: str, text: str, least: float) -> DataFrame
         """Members of bands that hold several classes; the links of the other bands can't change a class."""
         placed = members.join(roots, "node", "left").select("nth", "band", "node", F.coalesce("root", "node").alias("root"))
         several = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low != high")
-        return staged(sketched(placed.join(several.select("band", "n"), "band"), "node", "sketch", "bands"), "open")
+        return staged(sketched(placed.join(several.select("band", "n"), "band"), "node", "sketch"), "open")
 
     def joined(x: DataFrame, y: DataFrame, on: list[str], every: bool) -> bool:
         """Compare members of different classes that were not compared yet; whether classes changed."""
         nonlocal pairs, links, roots
         # Where all members meet all, a pair that shares several bands counts in the first of them.
-        earlier = [F.slice(f"{side}.bands", 1, F.col(f"{side}.nth")) for side in "xy"]
-        once = F.expr("x.root != y.root and x.node < y.node") & ~F.arrays_overlap(*earlier)
+        once = F.expr("x.root != y.root and x.node < y.node and not arrays_overlap(x.before, y.before)")
         new = (
             x.alias("x")
             .join(y.alias("y"), on)
@@ -313,12 +325,16 @@ def _classed(docs: DataFrame, doc_id: str, text: str, least: float) -> DataFrame
     for k in range(ROUNDS):
         rest = unsettled()
         turn = F.xxhash64("node", "band", F.lit(k))
-        centre = rest.groupBy("band").agg(F.min_by(F.struct("nth", "node", "root", "sketch", "bands"), turn).alias("c")).select("band", "c.*")
+        centre = rest.groupBy("band").agg(F.min_by(F.struct("node", "root", "sketch"), turn).alias("c")).select("band", "c.*")
         changed = joined(centre, rest, ["band"], False)
         dropped(rest)
         if not changed:
             break
     rest = unsettled()
+    # A member's shared bands that come before this one; a pair's shared bands are among them.
+    own = members.groupBy("node").agg(F.collect_list(F.struct("nth", "band")).alias("own"))
+    before = F.transform(F.filter("own", lambda s: s["nth"] < F.col("nth")), lambda s: s["band"])
+    rest = staged(rest.join(own, "node").select(*rest.columns, before.alias("before")), "rest")
     # One side of a large band is dealt to groups, the other goes to each, so no task sees a whole band's pairs.
     groups = F.ceil(F.col("n") / TOGETHER)
     dealt = rest.withColumn("group", F.pmod(F.xxhash64("node"), groups))
@@ -326,6 +342,7 @@ def _classed(docs: DataFrame, doc_id: str, text: str, least: float) -> DataFrame
     joined(dealt, spread, ["band", "group"], True)
     dropped(rest)
     dropped(members)
+    dropped(held)
     lowest = roots.join(known.select("node", "least_id"), "node").groupBy("root").agg(F.min("least_id").alias("class_id"))
     classes = (
         known.join(roots, "node", "left")
