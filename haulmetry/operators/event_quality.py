@@ -175,8 +175,12 @@ def event_signature(counts: DataFrame) -> DataFrame:
     return actions.withColumn("combined_event", F.concat(*[text_or_none(F.col(part)) for part in parts]))
 
 
+def _sums() -> list[Column]:
+    return [F.sum(name).cast("bigint").alias(name) for name in ("total_rows", *COUNTERS)]
+
+
 def _summed(df: DataFrame, *keys: str) -> DataFrame:
-    return df.groupBy(*keys).agg(*[F.sum(name).cast("bigint").alias(name) for name in ("total_rows", *COUNTERS)])
+    return df.groupBy(*keys).agg(*_sums())
 
 
 def _with_miss_pct(sums: DataFrame) -> DataFrame:
@@ -194,21 +198,21 @@ def quality_miss_pct(tagged: DataFrame, by_version: bool = False) -> DataFrame:
     return _with_miss_pct(_summed(tagged, "combined_event"))
 
 
-def _funnel(miss: DataFrame, flag: Column) -> DataFrame:
+def compliance_funnel(tagged: DataFrame) -> DataFrame:
+    """Signatures passing each check (under one percent missing): one overall row, one per version."""
+    # Both grains come from one pass: each row counts for its signature, and for its signature and version.
+    grains = [["combined_event"], ["combined_event", "row_number"]]
+    sums = tagged.groupingSets(grains, "combined_event", "row_number").agg(
+        F.grouping("row_number").alias("overall"), *_sums()
+    )
+    miss = _with_miss_pct(sums.where("overall = 1 or row_number is not null"))
+    flag = F.when(F.col("overall") == 1, F.lit(OVERALL_FLAG)).otherwise(F.col("row_number")).alias("flag")
     # A signature is one row per group already, so counting rows counts distinct signatures.
-    return miss.groupBy(flag.alias("flag")).agg(
+    counted = miss.groupBy("overall", flag).agg(
         F.count(F.lit(1)).alias("total_events"),
         *[F.count_if(~F.coalesce(F.col(f"{name}_pct") >= 1, F.lit(False))).alias(name) for name in COUNTERS],
     )
-
-
-def compliance_funnel(tagged: DataFrame) -> DataFrame:
-    """Signatures passing each check (under one percent missing): one overall row, one per version."""
-    # Both grains start from the same sums, so the large input is grouped once.
-    base = _summed(tagged, "combined_event", "row_number")
-    overall = _with_miss_pct(_summed(base, "combined_event"))
-    versions = _with_miss_pct(base.where(F.col("row_number").isNotNull()))
-    return _funnel(overall, F.lit(OVERALL_FLAG)).unionByName(_funnel(versions, F.col("row_number")))
+    return counted.drop("overall")
 
 
 def compliance_rates(funnel: DataFrame) -> DataFrame:

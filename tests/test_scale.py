@@ -1,6 +1,7 @@
 """What the jobs do at scale: hash aggregates, one scan of a text, span cells, pushed lists, kept days, one commit."""
 
 import datetime as dt
+import math
 import random
 import re
 from pathlib import Path
@@ -15,7 +16,7 @@ from haulmetry.functions.codes import first_code, owner_of_first, scan_pattern,
 from haulmetry.functions.rows import latest_number, latest_per_key, latest_time, pick_last, rows_of_listed
 from haulmetry.operators import gps, milestones
 from haulmetry.operators.cancellations import CANCEL_RULES
-from haulmetry.operators.event_quality import event_param_flatten, event_quality_counts
+from haulmetry.operators.event_quality import COUNTERS, compliance_funnel, event_param_flatten, event_quality_counts
 from haulmetry.plans.daily_counts import read_days, refresh_days
 from haulmetry.plans.dashboard import BUCKET_KEYS, colocated
 from haulmetry.sources.schemas import SCHEMAS
@@ -309,3 +310,39 @@ def test_a_stream_with_late_rows_and_a_restart_equals_the_batch(spark, events, t
     assert run() == _counted(everything, "20240101", "20240112")
     refresh_days(spark.read.parquet(log), [APP_ID], "20240101", "20240102", path)
     assert rows(read_days(spark, path, "20240101", "20240112")) == _counted(everything.union(too_late), "20240101", "20240112")
+
+
+# Two grains in one pass
+
+
+def test_funnel_reads_its_counts_once(spark, tmp_path):
+    rng = random.Random(3)
+    made = []
+    for _ in range(400):
+        total = rng.randrange(1, 200)
+        passed = [rng.choice([total, total, 0, None, total - 1]) for _ in COUNTERS]
+        made.append((rng.choice([None, "a", "b", "c", "d"]), rng.choice([None, "app_latest_0", "app_latest_1", "overall"]), total, *passed))
+    schema = "combined_event string, row_number string, total_rows bigint, " + ", ".join(f"{c} bigint" for c in COUNTERS)
+    path = str(tmp_path / "tagged")
+    spark.createDataFrame(made, schema).repartition(5).write.parquet(path)
+    tagged = spark.read.parquet(path)
+
+    def passing(rows):
+        """Signatures, and for each counter those that miss less than one percent, rounded half up to a tenth."""
+        sums = {}
+        for event, _, total, *passed in rows:
+            kept = sums.setdefault(event, [0] + [None] * len(COUNTERS))
+            kept[0] += total
+            for k, n in enumerate(passed, 1):
+                kept[k] = kept[k] if n is None else n + (kept[k] or 0)
+        miss = lambda s, k: None if s[k] is None else math.floor((s[0] - s[k]) / s[0] * 1000 + 0.5) / 10
+        return [len(sums)] + [sum(not (miss(s, k) is not None and miss(s, k) >= 1) for s in sums.values()) for k in range(1, len(COUNTERS) + 1)]
+
+    funnel = compliance_funnel(tagged)
+    # The flag of all rows and a version of that name stay two rows.
+    want = [("overall", *passing(made))]
+    want += [(v, *passing([r for r in made if r[1] == v])) for v in ("app_latest_0", "app_latest_1", "overall")]
+    assert sorted(map(tuple, funnel.select("flag", "total_events", *COUNTERS).collect())) == sorted(want)
+    plan = physical(funnel)
+    assert plan.count("Scan parquet") == 1 and plan.count("Expand") == 1 and "Union" not in plan
+    assert compliance_funnel(tagged.limit(0)).count() == 0
