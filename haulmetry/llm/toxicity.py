@@ -167,12 +167,26 @@ def _tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _followed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each different word of some texts with each word that it follows; a text's first word follows the empty one."""
+    for batch in slices(batches, 64):
+        found: set[tuple[str, str]] = set()
+        for text in batch.column(0).to_pylist():
+            words = [w.lower() for w in WORD.findall(text or "")]
+            found.update(zip(words, ["", *words], strict=False))
+        pairs = list(found)
+        yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.string()) for k in (0, 1)], ["word", "before"])
+
+
 def toxic_words(train: DataFrame, odds: float = 3.0, least: int = 5, share: float = 0.02) -> set[str]:
     """Words that label the training words; ``train`` has ``text`` and ``toxic``.
 
     A word's log odds of being in a toxic document must be ``odds`` or more, and it must follow
     different words in the toxic documents, at least ``least`` and that share of their number: the
-    words of one toxic text that was copied always follow the same.
+    words of one toxic text that was copied always follow the same. Both are counted on the cluster;
+    the words found come back, all of them, and are no more than the toxic documents of the sample hold.
+    Repeated rows count each time in the odds, once in what a word follows; null and empty texts have
+    no words; without documents of both kinds there are none.
     """
     totals = train.agg(F.count("*").alias("n"), F.sum("toxic").alias("p")).first()
     n, p = totals["n"], totals["p"] or 0
@@ -180,15 +194,10 @@ def toxic_words(train: DataFrame, odds: float = 3.0, least: int = 5, share: floa
         return set()
     counts = train.mapInArrow(_tallied, "word string, toxic bigint, docs bigint").groupBy("word").agg(F.sum("toxic").alias("t"), F.sum("docs").alias("d"))
     ratio = F.log((F.col("t") + 0.5) / (p + 1)) - F.log((F.col("d") - F.col("t") + 0.5) / (n - p + 1))
-    most = counts.where(F.col("t") >= least).where(ratio >= odds).orderBy(F.desc("t"), "word").limit(5000)
-    after: dict[str, set[str]] = {r["word"]: set() for r in most.collect()}
-    for row in train.where("toxic = 1").select("text").toLocalIterator():  # of a bounded sample
-        last = ""
-        for word in map(str.lower, WORD.findall(row["text"] or "")):
-            if word in after:
-                after[word].add(last)
-            last = word
-    return {w for w, before in after.items() if len(before) >= max(least, share * p)}
+    likely = counts.where(F.col("t") >= least).where(ratio >= odds).select("word")
+    before = train.where("toxic = 1").select("text").mapInArrow(_followed, "word string, before string")
+    places = before.join(likely, "word").groupBy("word").agg(F.count_distinct("before").alias("n"))
+    return {r["word"] for r in places.where(F.col("n") >= max(least, share * p)).collect()}
 
 
 def _gradients(sent, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

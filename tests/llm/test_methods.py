@@ -487,3 +487,31 @@ def test_repetition_fences_reject(spark, ratio):
     got = {r.doc_id: r for r in quality.quality_report(docs).collect()}
     assert not got[99].base_failed and ratio in got[99].broken and not got[99].kept
     assert all(got[k].kept for k in range(40))
+
+
+def test_toxic_words_by_brute_force(spark):
+    rng = random.Random(7)
+    plain = [a + b for a in "bcdfghklmn" for b in "aeiouy"]
+    rows = []
+    for k in range(160):
+        words = [rng.choice(plain) for _ in range(30)]
+        if k % 4 == 0:
+            for _ in range(3):
+                words.insert(rng.randrange(31), rng.choice(["Vile", "foul", "nasty"]))
+            words += ["always", "copied"]  # always in the same place
+        rows.append((" ".join(words), int(k % 4 == 0)))
+    rows += [(None, 0), ("", 1), rows[0], rows[1]]
+    train = spark.createDataFrame(rows, "text string, toxic int").repartition(3)
+    n, p = len(rows), sum(toxic for _, toxic in rows)
+    wanted = set()
+    cut = [([w.lower() for w in (text or "").split()], toxic) for text, toxic in rows]
+    for word in {w for words, _ in cut for w in words}:
+        t = sum(toxic for words, toxic in cut if word in words)
+        d = sum(word in words for words, _ in cut)
+        odds = math.log((t + 0.5) / (p + 1)) - math.log((d - t + 0.5) / (n - p + 1))
+        before = {([""] + words)[k] for words, toxic in cut if toxic for k, w in enumerate(words) if w == word}
+        if t >= 5 and odds >= 3.0 and len(before) >= max(5, 0.02 * p):
+            wanted.add(word)
+    assert toxicity.toxic_words(train) == wanted >= {"vile", "foul", "nasty"}
+    assert "copied" not in wanted
+    assert toxicity.toxic_words(train.where("toxic = 0")) == set()
