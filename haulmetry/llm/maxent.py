@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from functools import partial
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,10 @@ HASHED = 1 << 12
 ROUNDS = 3
 RATES = (0.5, 0.25, 0.12)
 BATCH = 8192
+#: Scores up to here need no lowering before their exponentials are added.
+FAR = 60.0
+#: Tokens scored at a time: their numbers stay in a core's cache.
+CACHED = 1024
 #: The end of a document; no word is a space.
 END = b" "
 SMOOTH = 0.1
@@ -64,6 +69,19 @@ def _ending(token: bytes) -> int:
     return int.from_bytes(token[-2:], "little")
 
 
+def _hashes(tokens: list[bytes]) -> np.ndarray:
+    """``_hash`` of many."""
+    import xxhash
+
+    found = np.fromiter(map(xxhash.xxh64_intdigest, tokens), np.uint64, len(tokens))
+    return (found ^ np.uint64(1 << 63)).view(np.int64)
+
+
+def _endings(tokens: list[bytes]) -> np.ndarray:
+    """``_ending`` of many; a single byte is followed by a zero."""
+    return np.array([t[-2:] for t in tokens], "S2").view("<u2")
+
+
 # Counts
 
 
@@ -71,8 +89,8 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows(counts: Counter) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([_hash(t) for t in counts], pa.int64()),
-                pa.array([_ending(t) for t in counts], pa.int32()),
+                pa.array(_hashes(list(counts)), pa.int64()),
+                pa.array(_endings(list(counts)).astype(np.int32), pa.int32()),
                 pa.array(list(counts.values()), pa.int64()),
             ],
             ["h", "ending", "c"],
@@ -137,32 +155,48 @@ class Lexicon:
 
 
 class Symbols(dict):
-    """Tokens as places in ``h`` (digests) and ``symbol`` (number in the head, or tail class behind it)."""
+    """Tokens as places in ``h`` (digests), ``symbol`` (number in the head, or tail class behind it), ``log_c``
+    and ``here`` (of the lexicon), so that a token is looked up once and not each time it stands."""
 
     def __init__(self, lexicon: Lexicon, most: int = 200_000):
         super().__init__()
-        self.rank = {int(h): k for k, h in enumerate(lexicon.head)}
-        self.tail_of = lexicon.tail_of
-        self.h, self.symbol = np.zeros(most, np.int64), np.zeros(most, np.int32)
-
-    def __missing__(self, token: bytes) -> int:
-        if len(self) >= len(self.h):
-            raise OverflowError
-        k = self[token] = len(self)
-        h = self.h[k] = _hash(token)
-        rank = self.rank.get(int(h))
-        self.symbol[k] = HEAD + self.tail_of.get(_ending(token), TAIL - 1) if rank is None else rank
-        return k
-
-    def of(self, every: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        try:
-            at = np.fromiter(map(self.__getitem__, every), np.int64, len(every))
-        except OverflowError:
-            self.clear()
-            if len(every) > len(self.h):
-                self.h, self.symbol = np.zeros(len(every), np.int64), np.zeros(len(every), np.int32)
-            at = np.fromiter(map(self.__getitem__, every), np.int64, len(every))
-        return self.h[at], self.symbol[at].astype(np.int64)
+        self.lexicon = lexicon
+        order = np.argsort(lexicon.head)
+        self.head, self.rank = lexicon.head[order], order.astype(np.int64)
+        self.by_ending = np.full(1 << 16, HEAD + TAIL - 1, np.int64)
+        for ending, k in lexicon.tail_of.items():
+            self.by_ending[ending] = HEAD + k
+        self._make(most)
+
+    def _make(self, most: int) -> None:
+        self.clear()
+        self.h, self.symbol, self.log_c, self.here = (np.zeros(most, t) for t in (np.int64, np.int64, np.float64, bool))
+
+    def _put(self, new: list[bytes]) -> None:
+        """Places for tokens that have none, all at once."""
+        first = len(self)
+        self.update(zip(new, range(first, first + len(new)), strict=True))
+        h, symbol = _hashes(new), self.by_ending[_endings(new)]
+        if len(self.head):
+            at = np.minimum(np.searchsorted(self.head, h), len(self.head) - 1)
+            symbol = np.where(self.head[at] == h, self.rank[at], symbol)
+        log_c, here = self.lexicon.log_c(h)
+        put = slice(first, len(self))
+        self.h[put], self.symbol[put], self.log_c[put], self.here[put] = h, symbol, np.where(here, log_c, 0.0), here
+
+    def of(self, every: list[bytes]) -> np.ndarray:
+        """Places of tokens; forgets all others where the new ones don't fit."""
+        at = np.fromiter(map(self.get, every, repeat(-1)), np.int64, len(every))
+        missing = np.flatnonzero(at < 0)
+        if not len(missing):
+            return at
+        new = list(dict.fromkeys([every[k] for k in missing.tolist()]))
+        if len(self) + len(new) > len(self.h):
+            new, missing = list(dict.fromkeys(every)), np.arange(len(every))
+            self._make(max(len(self.h), len(new)))
+        self._put(new)
+        at[missing] = np.fromiter((self[every[k]] for k in missing.tolist()), np.int64, len(missing))
+        return at
 
 
 # The model
@@ -197,61 +231,96 @@ def _views(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return weights[:_SIZE1].reshape(_ROWS1, _CLASSES), weights[_SIZE1:].reshape(_ROWS2 * (HEAD // WIDE), WIDE)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _total(table: np.ndarray, at: list[np.ndarray]) -> np.ndarray:
+    """Sums of rows of a table."""
+    x = table.take(at[0], axis=0)
+    other = np.empty_like(x)
+    for k in at[1:]:
+        x += table.take(k, axis=0, out=other, mode="clip")
+    return x
+
+
+def _normalized(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Scores, their exponentials and the sums of those, rows lowered by their largest score where need be."""
+    if x.size and max(x.max(), -x.min()) > FAR:
+        x -= x.max(axis=1, keepdims=True)
+    e = np.exp(x)
+    return x, e, e @ np.ones(x.shape[1], x.dtype)
 
 
 def _steps(weights: np.ndarray, rows: np.ndarray, symbol: np.ndarray):
-    """Log probabilities of classes and of tokens in classes, with what they were made of."""
+    """Scores of classes and of tokens in classes (see ``_normalized``), with what they were made of."""
     w1, w2 = _views(weights)
-    classes = w1[rows[:, 0]]
-    for k in range(1, rows.shape[1]):
-        classes += w1[rows[:, k]]
-    classes = _log_softmax(classes + w1[0])
+    chosen = [np.ascontiguousarray(rows[:, k]) for k in range(rows.shape[1])]
+    classes = _total(w1, chosen)
+    classes += w1[0]
     head = np.flatnonzero(symbol < HEAD)
     group = symbol[head] // WIDE
-    within = [group, *(rows[head, k] * (HEAD // WIDE) + group for k in range(rows.shape[1]))]
-    inner = w2[within[0]]
-    for at in within[1:]:
-        inner += w2[at]
-    return classes, head, within, _log_softmax(inner)
+    within = [group, *(k[head] * (HEAD // WIDE) + group for k in chosen)]
+    return _normalized(classes), head, chosen, within, _normalized(_total(w2, within))
+
+
+def _gradient(e: np.ndarray, total: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """What came less what was expected, in place of the exponentials."""
+    e *= (np.float32(-1) / total)[:, None]
+    e[np.arange(len(e)), chosen] += 1
+    return e
 
 
 def _add(table: np.ndarray, past: np.ndarray, at: np.ndarray, gradient: np.ndarray, rate: float) -> None:
     """An adaptive gradient step for the rows ``at``, which may repeat."""
-    order = np.argsort(at, kind="stable")
+    # Numbers of 16 bits are sorted by digits, several times as fast.
+    order = np.argsort(at.astype(np.uint16) if len(table) <= 1 << 16 else at, kind="stable")
     at = at[order]
     first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-    total, row = np.add.reduceat(gradient[order], first, axis=0), at[first]
-    past[row] += total * total
-    table[row] += rate * total / np.sqrt(past[row])
+    row = at[first]
+    if gradient.shape[1] > WIDE:
+        total = _summed(gradient, order, first)
+    else:
+        total = np.add.reduceat(gradient.take(order, axis=0), first, axis=0)
+    before = past.take(row, axis=0)
+    before += total * total
+    past[row] = before
+    total *= rate
+    total /= np.sqrt(before, out=before)
+    table[row] += total
+
+
+def _summed(gradient: np.ndarray, order: np.ndarray, first: np.ndarray, few: int = 6) -> np.ndarray:
+    """Sums of rows of each run of ``order``: short runs all at once, row by row, each long one by a product."""
+    size = np.diff(first, append=len(order))
+    total = gradient.take(order[first], axis=0)
+    short, ones = np.flatnonzero((size > 1) & (size <= few)), np.ones(size.max(), gradient.dtype)
+    for k in range(1, few):
+        short = short[size[short] > k]
+        total[short] += gradient.take(order[first[short] + k], axis=0)
+    for k in np.flatnonzero(size > few).tolist():
+        total[k] = ones[: size[k]] @ gradient.take(order[first[k] : first[k] + size[k]], axis=0)
+    return total
 
 
 def learn(weights: np.ndarray, past: np.ndarray, rows: np.ndarray, symbol: np.ndarray, rate: float) -> None:
     """One gradient step over a batch of tokens, in place."""
-    classes, head, within, inner = _steps(weights, rows, symbol)
+    (_, classes, all_classes), head, chosen, within, (_, inner, all_inner) = _steps(weights, rows, symbol)
     w1, w2 = _views(weights)
     p1, p2 = _views(past)
-    g = -np.exp(classes)
-    g[np.arange(len(g)), _class(symbol)] += 1
-    for k in range(rows.shape[1]):
-        _add(w1, p1, rows[:, k], g, rate)
+    g = _gradient(classes, all_classes, _class(symbol))
+    for at in chosen:
+        _add(w1, p1, at, g, rate)
     total = g.sum(axis=0)
     p1[0] += total * total
     w1[0] += rate * total / np.sqrt(p1[0])
     if len(head):
-        g = -np.exp(inner)
-        g[np.arange(len(g)), symbol[head] % WIDE] += 1
+        g = _gradient(inner, all_inner, symbol[head] % WIDE)
         for at in within:
             _add(w2, p2, at, g, rate)
 
 
 def log_probabilities(weights: np.ndarray, rows: np.ndarray, symbol: np.ndarray) -> np.ndarray:
     """log10 of each token's class, and for tokens of the head of the token itself."""
-    classes, head, _, inner = _steps(weights, rows, symbol)
-    out = classes[np.arange(len(classes)), _class(symbol)].astype(np.float64)
-    out[head] += inner[np.arange(len(head)), symbol[head] % WIDE]
+    (classes, _, all_classes), head, _, _, (inner, _, all_inner) = _steps(weights, rows, symbol)
+    out = (classes[np.arange(len(classes)), _class(symbol)] - np.log(all_classes)).astype(np.float64)
+    out[head] += inner[np.arange(len(head)), symbol[head] % WIDE] - np.log(all_inner)
     return out / np.log(10)
 
 
@@ -266,7 +335,7 @@ def _trained(sent, rate: float, batches: Iterator[pa.RecordBatch]) -> Iterator[p
     symbols, seen = Symbols(lexicon), 0
     for batch in slices(batches, 64):
         texts = [tokens(t) for t in batch.column(0).to_pylist()]
-        _, symbol = symbols.of([t for text in texts for t in text])
+        symbol = symbols.symbol[symbols.of([t for text in texts for t in text])]
         rows = features(symbol, _numbered(texts))
         for at in range(0, len(symbol), BATCH):
             learn(weights, past, rows[at : at + BATCH], symbol[at : at + BATCH], rate)
@@ -324,11 +393,10 @@ def _scored(sent, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in slices(batches, 64):
         texts = [tokens(t) for t in batch.column(1).to_pylist()]
         counts = np.array([len(t) for t in texts], np.int64)
-        h, symbol = symbols.of([t for text in texts for t in text])
+        at = symbols.of([t for text in texts for t in text])
+        h, symbol, log_c, here = symbols.h[at], symbols.symbol[at], symbols.log_c[at], symbols.here[at]
         rows = features(symbol, _numbered(texts))
-        score = np.concatenate([log_probabilities(weights, rows[at : at + BATCH], symbol[at : at + BATCH]) for at in range(0, len(symbol), BATCH)])
-        log_c, here = lexicon.log_c(h)
-        log_c = np.where(here, log_c, 0.0)
+        score = np.concatenate([log_probabilities(weights, rows[at : at + CACHED], symbol[at : at + CACHED]) for at in range(0, len(symbol), CACHED)])
         tail = symbol >= HEAD
         score[tail] += log_c[tail] - lexicon.share[symbol[tail] - HEAD]
         first = np.cumsum(counts) - counts
