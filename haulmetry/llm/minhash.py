@@ -48,6 +48,8 @@ PLANES, PLANE = 4, -(-BANDS * BAND_ROWS // 64)
 FARTHEST = int(BANDS * BAND_ROWS * 0.2 + 5 * (BANDS * BAND_ROWS * 0.2 * 0.8) ** 0.5)
 #: Members of one band, still in different classes, that meet in one task; more are dealt in such groups.
 TOGETHER = 1000
+#: Bits of the filter that finds rows to be left out, at most: 8 MB.
+FILTER = 1 << 26
 #: A Bloom filter of the paired rows goes to the scan of the texts, whatever the sizes of both.
 PREFILTER = {
     "spark__sql__optimizer__runtime__bloomFilter__enabled": "true",
@@ -367,6 +369,34 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return _classed(docs, doc_id, text, least).select(F.col("id").alias("doc_id"), "class_id", "copies")
 
 
+def _places(bits: int) -> tuple[Column, Column]:
+    """Two places of a row among so many bits."""
+    return tuple(F.pmod(F.xxhash64("row", F.lit(seed)), F.lit(bits)) for seed in (1, 2))
+
+
+def _may_hold(rows: DataFrame) -> Column:
+    """Whether a ``row`` may be among ``rows``: true for each of them and, up to 4 million, for 2 % of others.
+
+    A Bloom filter of at most ``FILTER`` bits, made on the cluster and sent to the tasks.
+    """
+    spark = rows.sparkSession
+    bits = min(FILTER, 1 << max(16, (16 * rows.count()).bit_length()))
+    place = rows.select(F.explode(F.array(*_places(bits))).alias("place"))
+    word = F.shiftrightunsigned("place", 6).cast("int").alias("word")
+    one = F.expr("shiftleft(1L, cast(place & 63 as int))")
+    found = place.groupBy(word).agg(F.bit_or(one).alias("set")).toArrow()
+    words = np.zeros(bits // 64, np.uint64)
+    words[found.column("word").to_numpy()] = found.column("set").to_numpy().view(np.uint64)
+    sent = spark.sparkContext.broadcast(words)
+
+    def holds(first: pa.Array, second: pa.Array) -> pa.Array:
+        both = [x.to_numpy(zero_copy_only=False) for x in (first, second)]
+        seen = [(sent.value[x >> 6] >> (x & 63).astype(np.uint64)) & np.uint64(1) for x in both]
+        return pa.array((seen[0] & seen[1]).astype(bool))
+
+    return F.arrow_udf(holds, "boolean")(*_places(bits))
+
+
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILAR) -> DataFrame:
     """``docs`` without near-duplicates: of each class the document of the smallest id, in one row.
 
@@ -378,11 +408,14 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lea
     chosen = classes.where("root is not null").groupBy("root").agg(best, F.count("*").alias("n")).where("n > 1")
     gone = classes.join(chosen, "root").where("row != best").select("row").distinct()
     twice = classes.where("root is not null or id is not null").groupBy("row").count().where("count > 1").select("row")
+    gone, twice = staged(gone, "gone"), staged(twice, "twice")
     named = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_doc"), _row(docs[doc_id], docs[text]).alias("row"))
-    kept = named.join(staged(gone, "gone"), "row", "left_anti")
-    twice = staged(twice, "twice")
+    # Most rows are neither gone nor there twice: they stay where they are, and only the others are shuffled.
+    listed = _may_hold(gone.union(twice))
+    kept = named.where(listed).join(gone, "row", "left_anti")
     return (
-        kept.join(twice, "row", "left_anti")
+        named.where(~listed)
+        .unionByName(kept.join(twice, "row", "left_anti"))
         .unionByName(kept.join(twice, "row", "left_semi").dropDuplicates(["row"]))
         .select("_doc.*")
     )

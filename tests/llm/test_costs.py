@@ -4,7 +4,8 @@ import random
 
 import numpy as np
 
-from haulmetry.llm import maxent
+from haulmetry.llm import maxent, minhash
+from haulmetry.llm.common import settings, ship
 
 
 class Counted:
@@ -45,3 +46,25 @@ def test_gradient_rows_are_summed_by_run():
     first = np.flatnonzero(np.diff(at[order], prepend=-1))
     summed = maxent._summed(gradient, order, first)
     assert np.allclose(summed, [gradient[at == k].sum(axis=0) for k in np.unique(at)], atol=1e-3)
+
+
+def test_most_documents_stay_where_they_are(spark):
+    """Only documents that may be left out meet the rows to leave out, too many to be broadcast here."""
+    ship(spark)
+    rng = random.Random(7)
+    texts = [" ".join(str(rng.randrange(10**6)) for _ in range(30)) for _ in range(300)]
+    made = [(k, t) for k, t in enumerate(texts)] + [(1000 + k, t) for k, t in enumerate(texts[:20])] + [(5, texts[5])] * 3
+    docs = spark.createDataFrame(made, "doc_id bigint, text string")
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        kept = minhash.one_of_each(docs)
+        plan = kept._jdf.queryExecution().optimizedPlan()
+        branches = [plan.children().apply(k).toString() for k in range(plan.children().size())]
+        assert sum("Join" not in branch for branch in branches) == 1
+        assert sorted(tuple(r) for r in kept.collect()) == sorted(enumerate(texts))
+
+
+def test_the_filter_finds_all_and_few_others(spark):
+    named = spark.range(21_000).selectExpr("id", "unhex(md5(cast(id as string))) as row")
+    listed = minhash._may_hold(named.where("id < 1000").select("row"))
+    found = {r.id for r in named.where(listed).collect()}
+    assert found >= set(range(1000)) and len(found) < 1000 + 0.03 * 20_000
