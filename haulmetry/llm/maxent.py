@@ -286,7 +286,7 @@ def _add(table: np.ndarray, past: np.ndarray, at: np.ndarray, gradient: np.ndarr
     table[row] += total
 
 
-def _summed(gradient: np.ndarray, order: np.ndarray, first: np.ndarray, few: int = 6) -> np.ndarray:
+def _summed(gradient: np.ndarray, order: np.ndarray, first: np.ndarray, few: int = 12) -> np.ndarray:
     """Sums of rows of each run of ``order``: short runs all at once, row by row, each long one by a product."""
     size = np.diff(first, append=len(order))
     total = gradient.take(order[first], axis=0)
@@ -294,8 +294,12 @@ def _summed(gradient: np.ndarray, order: np.ndarray, first: np.ndarray, few: int
     for k in range(1, few):
         short = short[size[short] > k]
         total[short] += gradient.take(order[first[short] + k], axis=0)
-    for k in np.flatnonzero(size > few).tolist():
-        total[k] = ones[: size[k]] @ gradient.take(order[first[k] : first[k] + size[k]], axis=0)
+    long = size > few
+    rows = gradient.take(order[np.repeat(long, size)], axis=0)
+    at = 0
+    for k, n in zip(np.flatnonzero(long).tolist(), size[long].tolist(), strict=True):
+        np.dot(ones[:n], rows[at : at + n], out=total[k])
+        at += n
     return total
 
 
@@ -390,6 +394,7 @@ def fit(train: DataFrame, lexicon: Lexicon, rounds: int = ROUNDS) -> np.ndarray:
 def _scored(sent, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     weights, lexicon = sent.value
     symbols, uid = Symbols(lexicon), TaskContext.get().partitionId() << 40
+    none = np.zeros(0, np.int64), np.zeros(0, np.int64)
     for batch in slices(batches, 64):
         texts = [tokens(t) for t in batch.column(1).to_pylist()]
         counts = np.array([len(t) for t in texts], np.int64)
@@ -400,7 +405,8 @@ def _scored(sent, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         tail = symbol >= HEAD
         score[tail] += log_c[tail] - lexicon.share[symbol[tail] - HEAD]
         first = np.cumsum(counts) - counts
-        rest = [np.unique(x[~y], return_counts=True) for x, y in zip(np.split(h, first[1:]), np.split(here, first[1:]), strict=True)]
+        parts = zip(np.split(h, first[1:]), np.split(~here, first[1:]), strict=True)
+        rest = [np.unique(x[y], return_counts=True) if y.any() else none for x, y in parts]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.arange(uid, uid + len(texts))),
