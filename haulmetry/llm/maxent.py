@@ -339,7 +339,8 @@ def _trained(sent, rate: float, batches: Iterator[pa.RecordBatch]) -> Iterator[p
     symbols, seen = Symbols(lexicon), 0
     for batch in slices(batches, 64):
         texts = [tokens(t) for t in batch.column(0).to_pylist()]
-        symbol = symbols.symbol[symbols.of([t for text in texts for t in text])]
+        at = symbols.of([t for text in texts for t in text])  # may make new arrays
+        symbol = symbols.symbol[at]
         rows = features(symbol, _numbered(texts))
         for at in range(0, len(symbol), BATCH):
             learn(weights, past, rows[at : at + BATCH], symbol[at : at + BATCH], rate)

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from haulmetry.llm import maxent, minhash
 from haulmetry.llm.common import settings, ship
@@ -35,7 +36,26 @@ def test_language_model_forgets_tokens_that_do_not_fit():
     symbols, rng = maxent.Symbols(Counted(), most=5), random.Random(3)
     for size in (2, 4, 30, 3):
         tokens = [b"t%d" % rng.randrange(40) for _ in range(size)]
-        assert symbols.h[symbols.of(tokens)].tolist() == [maxent._hash(t) for t in tokens]
+        at = symbols.of(tokens)
+        assert symbols.h[at].tolist() == [maxent._hash(t) for t in tokens]
+
+
+def test_language_model_learns_the_same_when_tokens_are_forgotten(monkeypatch):
+    class Lexicon(Counted):
+        head, tail_of = Counted.head, Counted.tail_of
+
+    class Sent:
+        value = np.zeros(maxent._SIZE1 + maxent._SIZE2, np.float32), Lexicon()
+
+    texts = [" ".join(rng.choice(["the", "of", "a", "xyz", f"w{rng.randrange(500)}"]) for _ in range(40)) for rng in map(random.Random, range(200))]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+
+    def learnt():
+        return [c.as_py() for c in next(maxent._trained(Sent, 0.5, iter([batch]))).column("change")]
+
+    whole, make = learnt(), maxent.Symbols.__init__
+    monkeypatch.setattr(maxent.Symbols, "__init__", lambda self, lexicon: make(self, lexicon, most=300))
+    assert learnt() == whole
 
 
 def test_gradient_rows_are_summed_by_run():
