@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
@@ -128,8 +128,22 @@ def ordinal_within(dealt: DataFrame, keys: Sequence[str], order: str, ties: Sequ
 _UNFOLD = 10_000
 
 
+#: Writes a frame and goes on from what is written, as ``Stage.keep`` does.
+Keep = Callable[[DataFrame], DataFrame]
+
+
+def as_is(df: DataFrame) -> DataFrame:
+    """Keeps nothing: the frame is computed wherever it is read."""
+    return df
+
+
 def fanout_left_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], identical_rows: bool = False, hot_rows: int = 100_000
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    identical_rows: bool = False,
+    hot_rows: int = 100_000,
+    keep: Keep = as_is,
 ) -> DataFrame:
     """Left join whose right side may repeat a key very often.
 
@@ -139,12 +153,19 @@ def fanout_left_join(
     per salt. There are at most ``rows / hot_rows`` such keys, and as many salts in all, but for
     one a key. ``right`` is read twice; stage it when it is costly.
 
+    With ``keep`` the right side is written and its keys are counted at once. Where none is that
+    frequent, the join is a plain one on ``on``, so that what is dealt by these keys is not dealt again.
+
     Rows are dealt by their content. Set ``identical_rows`` where many rows may be equal in
     every column; they are then folded to one row with a count before the shuffle.
     """
     on = list(on)
     # A NULL key never matches, so those rows need not travel.
     sided = right.dropna(subset=on)
+    if keep is not as_is:
+        sided = keep(sided)
+        if sided.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).isEmpty():
+            return left.join(sided, on, "left")
     if identical_rows:
         sided = sided.groupBy(*right.columns).agg(F.count(F.lit(1)).alias("_copies"))
     else:

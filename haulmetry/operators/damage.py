@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from haulmetry.functions.clock import local_from_epoch, to_local
 from haulmetry.functions.ratio import ratio
+from haulmetry.functions.rows import Keep, as_is
 from haulmetry.functions.text import json_document, json_field, json_item
 from haulmetry.operators.exclusions import TEST_NAMES, full_load_demands, real_consigners
 from haulmetry.operators.milestones import state_epochs
@@ -47,14 +48,18 @@ def damage_tickets(
     damage_assignee: str,
     link_base: str,
     test_names: Iterable[str] = TEST_NAMES,
+    keep: Keep = as_is,
 ) -> DataFrame:
-    """One row per claim and ticket month, with its tickets by source and first ticket time."""
+    """One row per claim and ticket month, with its tickets by source and first ticket time.
+
+    ``keep`` is given the tickets, which are read three times.
+    """
     live = F.col("deleted") != "true"
     subject = F.col("subject")
     about_damage = (subject.ilike(SUBJECTS[0]) & subject.ilike(SUBJECTS[1])) | (
         F.col("assigned_to") == damage_assignee
     )
-    raised = (
+    raised = keep(
         tickets.where(live & F.col("source").isin(*APP_SOURCES, portal_source) & about_damage)
         .select(F.col("id").alias("ticket_id"), "ticket_code", "source", to_local(F.col("created")).alias("ticket_creation"))
         .join(ticket_demand(fields), "ticket_id", "inner")
@@ -72,18 +77,25 @@ def damage_tickets(
         F.min("ticket_creation").alias("ticket_creation_time"),
     )
     totals = raised.groupBy("demand_id").agg(F.count_distinct("ticket_code").alias("total_tickets"))
-    trips = consignments.where(live).select("demand_id", F.col("code").alias("trip_id")).distinct()
+    # Only claims of demands with a ticket are parsed.
+    trips = (
+        consignments.where(live)
+        .select("demand_id", F.col("code").alias("trip_id"))
+        .join(raised.select("demand_id").distinct(), "demand_id", "left_semi")
+        .distinct()
+    )
     customers = real_consigners(consigners.where(live), test_names).select("code", "name", "sales_manager").distinct()
     owners = demands.select(F.col("id").alias("demand_id"), F.col("consigner_user_code").alias("code"))
     claimed = (
         claims.where(live)
+        .withColumnRenamed("consignment_code", "trip_id")
+        .join(trips, "trip_id", "inner")
         # Parsed once: what a generator makes isn't computed again above it.
         .withColumn("_doc", F.explode(F.array(json_document(F.col("metadata"), CLAIM_FIELDS))))
         .withColumns({name: json_item(F.col("_doc"), "items", n, field) for name, (n, field) in ITEM_FIELDS.items()})
         .withColumn("proofdoccodes", json_field(F.col("_doc"), "proofDocCodes"))
-        .select(F.col("consignment_code").alias("trip_id"), *CLAIM_COLUMNS)
+        .select("demand_id", "trip_id", *CLAIM_COLUMNS)
         .distinct()
-        .join(trips, "trip_id", "inner")
         .join(owners, "demand_id", "inner")
         .join(customers, "code", "inner")
     )

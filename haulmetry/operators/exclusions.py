@@ -17,11 +17,21 @@ ALTERNATE_NAMES = ("%alternat%", "%testing%")
 CANCELLATION_TEST_NAMES = ("%testing%", "%alternate%")
 SMALL_BUSINESS = ("SME", "SME_HP")
 DEMAND_CANCELLED = "DEMAND CANCELLED"
+LOAD = "partial_load"
 
 
 def full_load_demands(demands: DataFrame) -> DataFrame:
-    """Demands whose metadata does not flag a partial load; unreadable metadata drops the row."""
-    return demands.where(json_text(F.col("metadata"), "ptl") != "true")
+    """Demands whose metadata does not flag a partial load; unreadable metadata drops the row.
+
+    The flag of a table that ``with_load`` has made is not parsed again.
+    """
+    flag = F.col(LOAD) if LOAD in demands.columns else json_text(F.col("metadata"), "ptl")
+    return demands.where(flag != "true")
+
+
+def with_load(demands: DataFrame) -> DataFrame:
+    """Demands with the text that flags a partial load. Write them where several jobs read it."""
+    return demands.withColumn(LOAD, json_text(F.col("metadata"), "ptl"))
 
 
 def without_partial_comments(

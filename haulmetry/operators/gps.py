@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from haulmetry.functions.clock import epoch_boundary_diff, local_from_epoch
 from haulmetry.functions.ratio import ratio
+from haulmetry.functions.rows import Keep, as_is
 from haulmetry.operators.milestones import state_epochs
 
 # Fixed value: the vehicle state that is reported on.
@@ -90,12 +91,16 @@ def gps_offline(
     device_history: DataFrame,
     states: DataFrame,
     slot_seconds: int = 86_400,
+    keep: Keep = as_is,
 ) -> DataFrame:
-    """Per trip of a live vehicle: offline hours by segment, in total, and as a share of the journey."""
+    """Per trip of a live vehicle: offline hours by segment, in total, and as a share of the journey.
+
+    ``keep`` is given the trips, which are read three times.
+    """
     live = vehicle_details.where(F.col("vehicle_state") == LIVE).select(
         "vehicle_number", "device_name", "device_family", "hardware_type", "sim_network"
     )
-    trips = (
+    trips = keep(
         consignments.select("code", "vehicle_number", "operator_code")
         .join(state_epochs(states, SEGMENT_STATES), "code", "left")
         .join(live, "vehicle_number", "inner")

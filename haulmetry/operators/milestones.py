@@ -27,17 +27,54 @@ TRIP_METADATA = (
 )
 
 
-def state_epochs(states: DataFrame, wanted: Iterable[str] = STATES, deleted: Column | None = None) -> DataFrame:
+#: Rows of the state log that count: those marked as live, or all but those marked as deleted. In a
+#: folded log the states that a trip has are bits, and the epochs of the second kind have a prefix.
+LIVE, NOT_DELETED = "live", "not_deleted"
+_MARKS = {LIVE: ("seen", ""), NOT_DELETED: ("seen_not_deleted", "not_deleted_")}
+
+
+def _counts(mark: str) -> Column:
+    return F.col("deleted") == "false" if mark == LIVE else F.col("deleted") != "true"
+
+
+def _epoch_name(state: str) -> str:
+    return f"{state.lower()}_epoch"
+
+
+def folded_states(states: DataFrame) -> DataFrame:
+    """The state log folded to a row for each consignment: ``state_epochs`` takes any state and mark from it.
+
+    One pass over the log. Write the result where several jobs take their times from it.
+    """
+    bit = F.element_at(F.create_map(*[F.lit(x) for k, s in enumerate(STATES) for x in (s, 1 << k)]), F.col("state"))
+    updated, time = F.col("updated"), F.col("time")
+    columns = []
+    for mark, (seen, prefix) in _MARKS.items():
+        columns.append(F.coalesce(F.bit_or(F.when(_counts(mark), bit)), F.lit(0)).alias(seen))
+        # The only one that a job takes of rows that are not marked is the end of the trip.
+        for s in STATES if mark == LIVE else ("TRIP_END",):
+            latest = latest_number(updated, time, when=_counts(mark) & (F.col("state") == s))
+            columns.append(latest.alias(prefix + _epoch_name(s)))
+    kept = states.where((_counts(LIVE) | _counts(NOT_DELETED)) & F.col("state").isin(*STATES))
+    return kept.groupBy(F.col("consignment_code").alias("code")).agg(*columns)
+
+
+def state_epochs(states: DataFrame, wanted: Iterable[str] = STATES, mark: str = LIVE) -> DataFrame:
     """Per consignment, the epoch second of its latest row in each state, as ``<state>_epoch``.
 
     One pass over the state log, combined before the shuffle; every job takes its times from here.
+    ``states`` may be what ``folded_states`` made of the log, which is not folded again.
     """
     wanted = tuple(wanted)
-    live = F.col("deleted") == "false" if deleted is None else deleted
-    kept = states.where(live & F.col("state").isin(*wanted))
+    if "state" not in states.columns:
+        seen, prefix = _MARKS[mark]
+        bits = sum(1 << STATES.index(s) for s in wanted)
+        had = states.where(F.col(seen).bitwiseAND(F.lit(bits)) != 0)
+        return had.select("code", *[F.col(prefix + _epoch_name(s)).alias(_epoch_name(s)) for s in wanted])
+    kept = states.where(_counts(mark) & F.col("state").isin(*wanted))
     updated, time = F.col("updated"), F.col("time")
     return kept.groupBy(F.col("consignment_code").alias("code")).agg(
-        *[latest_number(updated, time, when=F.col("state") == s).alias(f"{s.lower()}_epoch") for s in wanted]
+        *[latest_number(updated, time, when=F.col("state") == s).alias(_epoch_name(s)) for s in wanted]
     )
 
 
@@ -111,12 +148,31 @@ def transit_delay_bucket(times: DataFrame) -> DataFrame:
     return overruns.withColumn("sys_trnst_dly", transit_bucket(F.col("cxnr_trnst")))
 
 
-def demand_buckets(times: DataFrame) -> DataFrame:
-    """Both bucket sets of each demand in one pass; the sets hold at most four and five names."""
-    return times.groupBy("demand_id").agg(
-        F.collect_set(loading_bucket(_loading_delay())).alias("gtl_delays"),
-        # A set skips NULL, so a trip without a bucket is kept as an empty name.
-        F.collect_set(
-            F.coalesce(transit_bucket(_overrun("shipperTATinHrs", SHIPPER_KM_PER_DAY)), F.lit(""))
-        ).alias("trnst_dlys"),
+def bucketed_trips(times: DataFrame) -> DataFrame:
+    """Trips of ``trip_times`` with what is read from their document: both buckets and the partial-load flag."""
+    return times.select(
+        "code",
+        "demand_id",
+        "consigner_user_code",
+        "trip_end_epoch",
+        json_field(F.col("doc"), "ptl").alias("ptl"),
+        loading_bucket(_loading_delay()).alias("gtl_delay"),
+        # A trip without a bucket is kept as an empty name, so that it counts in its demand's set.
+        F.coalesce(transit_bucket(_overrun("shipperTATinHrs", SHIPPER_KM_PER_DAY)), F.lit("")).alias("trnst_dly"),
+    )
+
+
+def _names_found(name: str, names: Iterable[str]) -> Column:
+    """Aggregate: the different names of a column, all of them among ``names``, by one bit each."""
+    bits = {n: 1 << k for k, n in enumerate(names)}
+    found = F.bit_or(F.element_at(F.create_map(*[F.lit(x) for pair in bits.items() for x in pair]), F.col(name)))
+    return F.array_compact(F.array(*[F.when(found.bitwiseAND(F.lit(b)) != 0, F.lit(n)) for n, b in bits.items()]))
+
+
+def demand_buckets(bucketed: DataFrame) -> DataFrame:
+    """Both bucket sets of each demand in one pass, combined by hash; the sets hold at most four and five names."""
+    loading = [*[name for _, name in LOADING_BUCKETS], LOADING_LAST]
+    transit = ["", *[name for _, name in TRANSIT_BUCKETS], TRANSIT_LAST]
+    return bucketed.groupBy("demand_id").agg(
+        _names_found("gtl_delay", loading).alias("gtl_delays"), _names_found("trnst_dly", transit).alias("trnst_dlys")
     )

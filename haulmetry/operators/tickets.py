@@ -18,7 +18,7 @@ from haulmetry.operators.exclusions import (
     real_consigners,
     without_partial_comments,
 )
-from haulmetry.operators.milestones import TRIPS_SINCE, state_epochs
+from haulmetry.operators.milestones import NOT_DELETED, TRIPS_SINCE, state_epochs
 
 # Custom-field ids, the subject left out, and the long-open limit in minutes.
 RESOLVE_TIME_FIELDS = (36, 35)
@@ -53,15 +53,23 @@ def _field(ids: Iterable[int], value: str, any_row: bool = False) -> Column:
     return pick_last(F.col("updated"), value, when=live)[value]
 
 
+def _are_columns(fields: DataFrame) -> bool:
+    return "custom_field_id" not in fields.columns
+
+
 def ticket_demand(fields: DataFrame) -> DataFrame:
-    """Demand id recorded on each ticket."""
+    """Demand id recorded on each ticket; of what ``ticket_fields`` made, NULL where there is none."""
+    if _are_columns(fields):
+        return fields.select("ticket_id", "tt_dem_id")
     kept = fields.where(F.col("custom_field_id").isin(*DEMAND_FIELDS) & (F.col("deleted") != "true"))
     latest = latest_per_key(kept, ["ticket_id"], "updated", ["number_value"])
     return latest.withColumnRenamed("number_value", "tt_dem_id")
 
 
 def ticket_fields(fields: DataFrame) -> DataFrame:
-    """Custom fields as columns, one row per ticket, from one grouped pass."""
+    """Custom fields as columns, one row per ticket, from one grouped pass; what it made before is taken as it is."""
+    if _are_columns(fields):
+        return fields
     sets = RESOLVE_TIME_FIELDS + EXPECTED_TIME_FIELDS + SUB_REASON_FIELDS + DEMAND_FIELDS + FEEDBACK_FIELDS
     kept = fields.where(F.col("custom_field_id").isin(*sets))
     columns = kept.groupBy("ticket_id").agg(
@@ -153,7 +161,7 @@ def tickets_fact(
     done = done.select(F.col("id").alias("demand_id"), "consigner_user_code").join(small, "consigner_user_code", "inner")
     done = without_partial_comments(done, comments, partial_patterns)
     ended = (
-        state_epochs(states, ("TRIP_END",), deleted=live)
+        state_epochs(states, ("TRIP_END",), NOT_DELETED)
         .where(F.col("trip_end_epoch").isNotNull())
         .select("code", local_from_epoch(F.col("trip_end_epoch")).alias("trip_start_time"))
     )

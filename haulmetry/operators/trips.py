@@ -8,10 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulmetry.functions.clock import calendar_labels, local_from_epoch
-from haulmetry.functions.rows import fanout_left_join
-from haulmetry.functions.text import json_field
+from haulmetry.functions.rows import Keep, as_is, fanout_left_join
 from haulmetry.operators.exclusions import TEST_NAMES, real_consigners
-from haulmetry.operators.milestones import TRIPS_SINCE, demand_buckets, trip_times
+from haulmetry.operators.milestones import TRIPS_SINCE, bucketed_trips, demand_buckets, trip_times
 from haulmetry.operators.requests import special_request_flag
 
 
@@ -24,13 +23,17 @@ def trip_end_fact(
     addresses: DataFrame,
     since: str = TRIPS_SINCE,
     test_names: Iterable[str] = TEST_NAMES,
+    keep: Keep = as_is,
 ) -> DataFrame:
-    """One row per ended trip, feedback entry and delay bucket of its demand."""
-    times = trip_times(consignments, demands, states, since)
+    """One row per ended trip, feedback entry and delay bucket of its demand.
+
+    ``keep`` is given what is read twice: the ended trips with their buckets, and the ratings.
+    """
+    times = keep(bucketed_trips(trip_times(consignments, demands, states, since)))
     named = real_consigners(consigners, test_names).select(F.col("code").alias("consigner_user_code"))
     # Only the existence of the customer matters to a distinct result, so a semi join is enough.
     trips = (
-        times.where(json_field(F.col("doc"), "ptl") != "true")
+        times.where(F.col("ptl") != "true")
         .join(named, "consigner_user_code", "left_semi")
         .select("code", "demand_id", local_from_epoch(F.col("trip_end_epoch")).alias("unloading_done_time"))
     )
@@ -43,7 +46,7 @@ def trip_end_fact(
     )
     ratings = feedback.select("demand_id", "rating", "remarks", "reasons").distinct()
     return (
-        fanout_left_join(unfolded, ratings, ["demand_id"])
+        fanout_left_join(unfolded, ratings, ["demand_id"], keep=keep)
         .select(
             "demand_id",
             "unloading_done_time",
@@ -60,12 +63,12 @@ def trip_end_fact(
     )
 
 
-def trip_enriched(trips: DataFrame, tickets: DataFrame, gps: DataFrame) -> DataFrame:
+def trip_enriched(trips: DataFrame, tickets: DataFrame, gps: DataFrame, keep: Keep = as_is) -> DataFrame:
     """Trips with calendar labels, one row per ticket of the demand, and offline hours.
 
-    ``tickets`` is read twice: pass it staged.
+    ``tickets`` is read twice: pass it staged, or ``keep`` it here.
     """
     raised = tickets.select("demand_id", "ticket_code", "ticket_feedback", "opened_from", "tat_resolve_cat")
     offline = gps.select("code", "trip_journey", "total_offline_time", "sim_network", "transit_journey")
     labelled = calendar_labels(trips, "unloading_done_time", with_date=True)
-    return fanout_left_join(labelled, raised, ["demand_id"]).join(offline, "code", "left")
+    return fanout_left_join(labelled, raised, ["demand_id"], keep=keep).join(offline, "code", "left")

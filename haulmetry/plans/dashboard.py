@@ -7,9 +7,11 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from haulmetry.operators.cancellations import cancellation_report, cancellation_rows, cancellations_fact
+from haulmetry.operators.cancellations import CANCELLED, cancellation_report, cancellation_rows, cancellations_fact
 from haulmetry.operators.damage import damage_daily, damage_tickets
+from haulmetry.operators.exclusions import with_load
 from haulmetry.operators.gps import gps_offline
 from haulmetry.operators.growth import (
     acquisition_base,
@@ -18,13 +20,20 @@ from haulmetry.operators.growth import (
     quotes_per_operator_daily,
     subscriptions_cumulative,
 )
+from haulmetry.operators.milestones import folded_states
 from haulmetry.operators.payments import (
     advance_latency_daily,
     balance_latency_daily,
     reported_trips,
     trip_balance,
 )
-from haulmetry.operators.tickets import APP_SOURCES, tickets_fact, tickets_per_trip, trip_ticket_ratio_daily
+from haulmetry.operators.tickets import (
+    APP_SOURCES,
+    ticket_fields,
+    tickets_fact,
+    tickets_per_trip,
+    trip_ticket_ratio_daily,
+)
 from haulmetry.operators.trips import trip_end_fact, trip_enriched
 from haulmetry.sources.sinks import publish_together
 from haulmetry.sources.stage import Stage
@@ -58,19 +67,28 @@ BUCKET_KEYS = {
     "ticket_field_values": "ticket_id",
     "tickets": "id",
 }
+#: Rows of the state log that are read one by one, which ``colocated`` keeps beside the folded log.
+CANCELLED_STATES = "cancelled_states"
 
 
 def colocated(t: Mapping[str, DataFrame], stage: Stage, buckets: int | None = None) -> dict[str, DataFrame]:
     """The source tables, those of ``BUCKET_KEYS`` written once in as many buckets by their key.
 
-    The state log, which four outputs fold by trip, and the tables it meets are then shuffled once for
-    the whole run instead of once for each output.
+    The state log, from which four outputs take times by trip, is folded to a row for each trip on the
+    way, and its cancellations are kept beside it; the partial-load flag of demands is parsed. These and
+    the tables they meet are then shuffled once for the whole run instead of once for each output.
     """
     tables = dict(t)
     for name, key in BUCKET_KEYS.items():
         if name in tables:
             count = buckets or int(tables[name].sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            tables[name] = stage.keep_bucketed(tables[name], key, count)
+            if name == "consignment_states":
+                tables[CANCELLED_STATES] = stage.keep(tables[name].where(F.col("state") == CANCELLED))
+                tables[name] = stage.keep_bucketed(folded_states(tables[name]), "code", count, one_each=True)
+            elif name == "demands":
+                tables[name] = stage.keep_bucketed(with_load(tables[name]), key, count)
+            else:
+                tables[name] = stage.keep_bucketed(tables[name], key, count)
     return tables
 
 
@@ -79,9 +97,10 @@ def dashboard_outputs(t: Mapping[str, DataFrame], s: DashboardSettings, stage: S
 
     Pass the tables through ``colocated`` first, and clear ``stage`` once the outputs are written.
     """
+    columns = stage.keep(ticket_fields(t["ticket_field_values"]))
     tickets = tickets_fact(
         t["tickets"],
-        t["ticket_field_values"],
+        columns,
         t["demands"],
         t["demand_feedback"],
         t["consigners"],
@@ -101,13 +120,19 @@ def dashboard_outputs(t: Mapping[str, DataFrame], s: DashboardSettings, stage: S
         t["demand_feedback"],
         t["consigners"],
         t["demand_addresses"],
+        keep=stage.keep,
     )
     gps = gps_offline(
-        t["consignments"], t["vehicle_details"], t["vehicles"], t["device_history"], t["consignment_states"]
+        t["consignments"],
+        t["vehicle_details"],
+        t["vehicles"],
+        t["device_history"],
+        t["consignment_states"],
+        keep=stage.keep,
     )
     damage = damage_tickets(
         t["tickets"],
-        t["ticket_field_values"],
+        columns,
         t["damage_claims"],
         t["consignments"],
         t["demands"],
@@ -115,12 +140,13 @@ def dashboard_outputs(t: Mapping[str, DataFrame], s: DashboardSettings, stage: S
         s.portal_source,
         s.damage_assignee,
         s.ticket_link_base,
+        keep=stage.keep,
     )
     cancellations = cancellations_fact(
         stage.keep(
             cancellation_rows(
                 t["consignments"],
-                t["consignment_states"],
+                t.get(CANCELLED_STATES, t["consignment_states"]),
                 t["demands"],
                 t["consigners"],
                 t["vehicle_types"],
@@ -161,7 +187,8 @@ def dashboard_outputs(t: Mapping[str, DataFrame], s: DashboardSettings, stage: S
     return {
         "dmg_raw": damage_daily(t["consignments"], t["demands"], t["consignment_states"], damage),
         "tickets": tickets,
-        "trip_end_raw": trip_enriched(trips, tickets, gps),
+        # Written once, because ordering it reads it twice: for the ranges and to deal it.
+        "trip_end_raw": stage.keep(trip_enriched(trips, tickets, gps, keep=stage.keep)),
         "can_raw": cancellation_report(cancellations),
         "sub_raw": subscriptions_cumulative(t["subscriptions"]),
         "fo_tkts": trip_ticket_ratio_daily(per_trip),

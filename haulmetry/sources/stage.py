@@ -28,17 +28,19 @@ class Stage:
         df.write.parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
 
-    def keep_bucketed(self, df: DataFrame, key: str, buckets: int) -> DataFrame:
+    def keep_bucketed(self, df: DataFrame, key: str, buckets: int, one_each: bool = False) -> DataFrame:
         """Write ``df`` once, dealt and sorted by ``key``: tables of as many buckets join on it without a shuffle.
 
         A bucket is read by one task. Where one key holds more rows than two buckets should, the table is
-        written plain, and joins shuffle it and split that key as always.
+        written plain, and joins shuffle it and split that key as always. A table of one row for each key
+        (``one_each``) need not be counted for that.
         """
-        sizes = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-        unset = df.where(F.col(key).isNull()).agg(F.count("*")).first()[0]
-        largest, total = sizes.agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-        if max(largest, unset) > max(2 * (total + unset) / buckets, 1000):
-            return self.keep(df)
+        if not one_each:
+            # Rows without a key are a group too.
+            sizes = df.groupBy(key).agg(F.count("*").alias("n"))
+            largest, total = sizes.agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+            if largest > max(2 * total / buckets, 1000):
+                return self.keep(df)
         name = f"haulmetry_{uuid.uuid4().hex}"
         path = f"{self._folder}/{name}"
         self._paths.append(path)
