@@ -112,12 +112,17 @@ def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def drop_old_runs(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
-    """Delete the runs, failed ones too, but for the ``keep`` newest and the published one; returns their names."""
+    """Delete the runs, failed ones too, but for the ``keep`` newest and the published one; returns their names.
+
+    Of runs of the same time, the published one is the newest.
+    """
     run = published_run(spark, root)
+    published = run and run["run"]
     folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{RUNS}")
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = sorted(status.getPath().getName() for status in files.listStatus(folder)) if files.exists(folder) else []
-    old = [n for n in names[: max(0, len(names) - keep)] if run is None or n != run["run"]]
+    names = [status.getPath().getName() for status in files.listStatus(folder)] if files.exists(folder) else []
+    names.sort(key=lambda n: (n.split("-")[0], n == published, n))
+    old = [n for n in names[: max(0, len(names) - keep)] if n != published]
     for name in old:
         files.delete(spark._jvm.org.apache.hadoop.fs.Path(folder, name), True)
     return old

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import itertools
+import json
 import random
 
 import pytest
@@ -13,6 +14,7 @@ from haulmetry.functions.rows import fanout_left_join
 from haulmetry.operators import damage, exclusions, milestones, tickets, trips
 from haulmetry.plans.dashboard import CANCELLED_STATES, colocated, dashboard_outputs
 from haulmetry.sources.schemas import SCHEMAS
+from haulmetry.sources.sinks import MANIFEST, RUNS, drop_old_runs
 from haulmetry.sources.stage import Stage
 
 
@@ -106,3 +108,12 @@ def test_bucket_names_of_a_demand(spark):
     assert "ObjectHashAggregate" not in physical(found)
     got = {r.demand_id: (set(r.gtl_delays), set(r.trnst_dlys)) for r in found.collect()}
     assert got == {1: ({names[0], names[3]}, {"", "dely_undr_24"}), None: ({names[1]}, {"ontime"}), 2: ({names[2]}, {"dely_abv_48"})}
+
+
+def test_the_published_run_is_the_newest_of_its_time(spark, tmp_path):
+    first, published, failed = names = ["20240201T000000-c", "20240202T000000-a", "20240202T000000-b"]
+    for name in names:
+        (tmp_path / RUNS / name).mkdir(parents=True)
+    (tmp_path / MANIFEST).write_text(json.dumps({"run": published, "outputs": []}))
+    assert sorted(drop_old_runs(spark, str(tmp_path), keep=1)) == [first, failed]
+    assert [p.name for p in (tmp_path / RUNS).iterdir()] == [published]
